@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from quarterline.functions.expr import is_finite
 from quarterline.functions.text import FIRST_YEAR, QUARTERS, identifier, quarter_index
 from quarterline.operators.finger_tree import COUNT, MIN_STAMP, TOTAL, FingerForest
+from quarterline.operators.whole_groups import group_numbers, whole_groups
 
 LATE_DAYS, CUT_OFF_DAYS = 45, 200
 _DAY = 86_400_000_000
+_SERIES = ("company", "metric")
 #: Arrivals from the first stamp on and before the second take part.
 FIRST_STAMP, END_STAMP = "2015-01-01", "2027-01-01"
 
@@ -48,12 +50,10 @@ def participants(bronze: DataFrame) -> DataFrame:
 def _overtaken_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per series and quarter: the earliest arrival of any later quarter, where some row of the node came after it.
 
-    Input is clustered by series, so the trees of one batch are whole but for the series that a batch boundary cuts,
-    whose nodes wait for the next batch.
+    Input is clustered by series and has one row per node.
     """
-    for batch in _whole_series(batches):
-        series = (batch["company"] != batch["company"].shift()) | (batch["metric"] != batch["metric"].shift())
-        tree = series.to_numpy().cumsum() - 1
+    for batch in whole_groups(batches, _SERIES):
+        tree = group_numbers(batch, _SERIES)
         time, first = batch["quarter"].to_numpy(), batch["first"].to_numpy()
         forest = FingerForest(int(tree[-1]) + 1, QUARTERS, MIN_STAMP)
         forest.insert(tree, time, first)
@@ -62,21 +62,6 @@ def _overtaken_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[hit, ["company", "metric", "quarter"]].assign(overtaker=overtaker[hit])
 
 
-def _whole_series(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The same rows, cut only between series. A series has at most one row per quarter here, so what waits is small."""
-    held: pd.DataFrame | None = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        last = (held["company"] == held["company"].iat[-1]) & (held["metric"] == held["metric"].iat[-1])
-        if not last.all():
-            yield held[~last].reset_index(drop=True)
-            held = held[last].reset_index(drop=True)
-    if held is not None:
-        yield held
-
-
 def late_rows(bronze: DataFrame) -> DataFrame:
     """row_id and kind: late, too_late, overtaken; a row may have two kinds, each delivered row is judged by itself.
 

@@ -41,8 +41,8 @@ def snapshot_changes(
     with the greatest hash. Null and blank keys and null snapshot numbers are no records. The first snapshot yields
     nothing; neither does an empty table. Other columns are never read.
 
-    One exchange by (snapshot, key) serves the choice of the latest row and the later side of the join, one more by
-    (next snapshot, key) the earlier side. A key has as many rows as there are snapshots, so the join can't be skewed;
+    One exchange by (snapshot, key) serves the choice of the latest row on both sides, and the later side of the join
+    keeps its partitioning and order; the earlier side takes one more, by (next snapshot, key). A key has as many rows as there are snapshots, so the join can't be skewed;
     repeated listings are cut before their exchange by the partial group limit.
     """
     rows = snapshots.select(
@@ -57,12 +57,11 @@ def snapshot_changes(
         pairs = F.broadcast(pairs)
     earlier = latest.join(pairs, "at").select(F.col("next").alias("at"), "id", F.col("hash").alias("before"))
     later = latest.withColumnRenamed("hash", "after")
-    if known:
-        later = later.where(F.col("at") != known[0])
+    first = F.lit(known[0] if known else None).cast("int")
     kind = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed")
     return (
         earlier.join(later, ["at", "id"], "full_outer")
-        .where(~F.col("before").eqNullSafe(F.col("after")))
+        .where(~F.col("before").eqNullSafe(F.col("after")) & (F.col("at") != first))
         .select(
             F.col("at").cast("int").alias("snapshot_id"), F.col("id").alias("observation_id"),
             kind.otherwise("changed").alias("change_kind"),

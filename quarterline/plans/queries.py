@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.functions.text import trimmed
-from quarterline.operators import lateness, quality, snapshot_diff, sync
+from quarterline.operators import lateness, quality, snapshot_diff, spikes, sync
 from quarterline.operators.compare import compare_periods, same_period_winner
 from quarterline.operators.latest import latest_observations
 from quarterline.plans import layers, serving
@@ -173,6 +173,10 @@ def p2_found(spark, at):
     return snapshot_diff.snapshot_changes(table(spark, at, "slice4_snapshots"))
 
 
+def p3_found(spark, at):
+    return spikes.implausible_rows(_bronze(spark, at), table(spark, at, "metric_catalog"))
+
+
 def p4_found(spark, at):
     return lateness.late_rows(_bronze(spark, at))
 
@@ -198,6 +202,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p2_found, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p2_found, p3_found, p4_found, p4_periods, p5_found, p5_kept,
     )
 }
