@@ -20,7 +20,8 @@ SEASON = 4
 class ChartRules:
     """limit: departure from the prediction in usual deviations that is out of control. longest: successive reported
     values that a spike may last. stuck: successive reported values that make a run. moving: share of successive values
-    that must differ in a series whose runs are suspicious. fewest: reported values that a series needs to be judged. weight: of
+    that must differ in a series whose runs are suspicious; least_changes, most_runs: changes
+    that such a series must and long runs that it may have. fewest: reported values that a series needs to be judged. weight: of
     a new value in the mean. clip: departure in scales beyond which a value counts no further; twice that is out of
     control. gate: departure from either prediction alone. least_usual: usual deviation of a proportional series that
     hardly varies, as a share of its level."""
@@ -34,6 +35,8 @@ class ChartRules:
     clip: float = 2.5
     gate: float = 4.0
     least_usual: float = 0.005
+    least_changes: int = 3
+    most_runs: int = 2
 
 
 def _median(x: np.ndarray, axis: int = 1) -> np.ndarray:
@@ -133,8 +136,8 @@ def stuck_runs(candidates: np.ndarray, x: np.ndarray, rules: ChartRules) -> np.n
     """The value that stands still at each series and period, NaN where none does.
 
     candidates: (values, series, periods), what was reported in each period; x: the representative value. A run goes on
-    while any candidate of the next reported period has its value. Runs count only where the series outside of them
-    differs from its previous value in at least the share `moving` of the reported periods.
+    while any candidate of the next reported period has its value. Runs count only in a series that has few of them and
+    outside of them differs from its previous value in at least the share `moving` of the reported periods.
     """
     k, n, t = candidates.shape
     ordinal = np.where(np.isnan(x), -1, np.cumsum(~np.isnan(x), axis=1))
@@ -151,7 +154,8 @@ def stuck_runs(candidates: np.ndarray, x: np.ndarray, rules: ChartRules) -> np.n
     still = still.reshape(n, t)
     outside = ~np.isnan(x) & np.isnan(still) & ~np.isnan(_last_reported(x))
     changes = np.sum(outside & (x != _last_reported(x)), axis=1)
-    moving = changes >= np.maximum(rules.moving * np.sum(outside, axis=1), 1)
+    begins = ~np.isnan(still) & (still != _last_reported(still))
+    moving = (changes >= np.maximum(rules.moving * np.sum(outside, axis=1), rules.least_changes)) & (np.sum(begins, axis=1) <= rules.most_runs)
     return np.where(moving[:, None], still, np.nan)
 
 

@@ -147,6 +147,25 @@ _LINES = """(SELECT l_orderkey || '-' || l_linenumber AS observation_id, 'S' ||
 _EVENTS = """(SELECT CAST(event_id AS VARCHAR) AS observation_id, CAST(user_id AS VARCHAR) AS company_id, event_type AS metric_id,
     year(ts) || 'Q' || quarter(ts) AS period_id, value, ts AS ingested_at FROM events)"""
 
+
+
+def _profile(column: str, number: str, nan: str, violates: str) -> str:
+    return f"""SELECT batch_id, '{column}' AS column_name, CAST(sum(n) AS BIGINT) AS row_count,
+        CAST(coalesce(sum(n) FILTER (k IS NULL), 0) AS BIGINT) AS null_count, CAST(coalesce(sum(n) FILTER ({nan}), 0) AS BIGINT) AS nan_count,
+        count(k) AS distinct_count, CAST(coalesce(sum(n) FILTER ({violates}), 0) AS BIGINT) AS violation_count,
+        CAST(min({number}) AS DOUBLE) AS low, CAST(max({number}) AS DOUBLE) AS high,
+        round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 6) AS entropy
+      FROM (SELECT batch_id, {column} AS k, count(*) AS n FROM slice4_bronze GROUP BY ALL) GROUP BY batch_id"""
+
+
+_P1_PROFILE = " UNION ALL ".join(
+    (
+        _profile("period_id", "CAST(NULL AS DOUBLE)", "false", f"k IS NOT NULL AND NOT regexp_full_match({_space_trimmed('k')}, '[0-9]{{4}}Q[1-4]')"),
+        _profile("value", "CASE WHEN NOT isnan(k) AND NOT isinf(k) THEN k END", "isnan(k)", "isinf(k)"),
+        _profile("ingested_at", "epoch_us(k)", "false", "k < TIMESTAMP '2015-01-01' OR k > TIMESTAMP '2026-12-31 23:59:59.999999'"),
+    )
+)
+
 ORACLES = {
     "bronze_latest": f"""SELECT * FROM (SELECT observation_id, company_id, metric_id, period_id, value, ingested_at, {_BRONZE_HASH} AS record_hash FROM slice4_bronze)
         QUALIFY {_LATEST.format(h="record_hash")}""",
@@ -174,6 +193,7 @@ ORACLES = {
         QUALIFY {_LATEST.format(h=_BRONZE_HASH)})""")),
     "lineitem_gold": _mart(_valid(_LINES), hashed=False),
     "events_gold": _mart(_valid(_EVENTS), hashed=False),
+    "p1_profile": _P1_PROFILE,
     "p2_found": _P2,
     "p4_found": _P4,
     "p4_periods": _P4_PERIODS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.functions.text import trimmed
-from quarterline.operators import lateness, quality, snapshot_diff, spikes, sync
+from quarterline.operators import lateness, profile, quality, snapshot_diff, spikes, sync
 from quarterline.operators.compare import compare_periods, same_period_winner
 from quarterline.operators.latest import latest_observations
 from quarterline.plans import layers, serving
@@ -169,6 +169,14 @@ def events_gold(spark, at):
     return compare_periods(quality.valid_rows(rows)).drop("gold_record_hash")
 
 
+def p1_found(spark, at):
+    return profile.departing_columns(profile.counted(_bronze(spark, at))).select("batch_id", "column_name")
+
+
+def p1_profile(spark, at):
+    return profile.column_profiles(profile.counted(_bronze(spark, at)))
+
+
 def p2_found(spark, at):
     return snapshot_diff.snapshot_changes(table(spark, at, "slice4_snapshots"))
 
@@ -202,6 +210,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p2_found, p3_found, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p2_found, p3_found, p4_found, p4_periods, p5_found, p5_kept,
     )
 }
