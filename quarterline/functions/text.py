@@ -14,8 +14,12 @@ QUARTERS = 4 * (LAST_YEAR - FIRST_YEAR + 1)
 
 
 def trimmed(column: Column) -> Column:
-    """Without surrounding white space of any Unicode kind; null stays null."""
-    return F.btrim(column, F.lit(WHITE_SPACE))
+    """Without surrounding white space of any Unicode kind; null stays null.
+
+    Text that begins and ends with a visible ASCII character, nearly all of it, skips the search for white space.
+    """
+    visible = [F.ascii(c).between(33, 126) for c in (column, F.substring(column, -1, 1))]
+    return F.when(visible[0] & visible[1], column).otherwise(F.btrim(column, F.lit(WHITE_SPACE)))
 
 
 def identifier(column: Column) -> Column:
@@ -26,9 +30,9 @@ def identifier(column: Column) -> Column:
 def quarter_index(column: Column) -> Column:
     """Quarters since the first one for a trimmed YYYYQn inside the known years, else null."""
     period = trimmed(column)
-    ok = period.rlike("^[0-9]{4}Q[1-4]\\z") & period.between(f"{FIRST_YEAR}Q1", f"{LAST_YEAR}Q4")
+    known = [f"{y}Q{q}" for y in range(FIRST_YEAR, LAST_YEAR + 1) for q in range(1, 5)]
     year, quarter = F.substring(period, 1, 4), F.substring(period, 6, 1)
-    return F.when(ok, (year.try_cast("int") - FIRST_YEAR) * 4 + quarter.try_cast("int") - 1)
+    return F.when(period.isin(known), (year.try_cast("int") - FIRST_YEAR) * 4 + quarter.try_cast("int") - 1)
 
 
 def readable_quarter_index(column: Column) -> Column:
