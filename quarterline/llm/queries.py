@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarterline.llm import packing, tokens
+from quarterline.llm import packing, sentences, tokens
 from quarterline.sources.tables import table
 
 
@@ -23,7 +23,11 @@ def p7_fill(spark, at):
     return packing.fill_of(packing.containers_of(table(spark, at, "documents"), containers), containers)
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_round_trip, p7_containers, p7_fill)}
+def p8_found(spark, at):
+    return sentences.sentence_spans(table(spark, at, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_round_trip, p7_containers, p7_fill, p8_found)}
 
 #: Tokenization and packing have no SQL; tests hold them against another implementation and against their conditions.
 ORACLES: dict[str, str] = {}
