@@ -1,0 +1,56 @@
+from datetime import datetime, timedelta
+
+import pytest
+
+from quarterline.operators.compare import compare_periods
+
+T = datetime(2026, 8, 8)
+
+
+def mart(bronze, rows):
+    df = bronze([(o, c, m, p, v, T + timedelta(minutes=t)) for o, c, m, p, v, t in rows])
+    return {(r["company_id"], r["metric_id"]): r for r in compare_periods(df).collect()}
+
+
+def test_core_cases(bronze):
+    found = mart(bronze, [
+        ("1", "C1", "revenue", "2026Q2", 100.0, 0), ("2", "C1", "revenue", "2026Q2", 120.0, 5), ("3", "C1", "revenue", "2025Q4", 90.0, -9),
+        ("4", "C2", "margin", "2026Q2", 7.0, 0),
+        ("5", "C3", "ratio", "2026Q2", 5.0, 0), ("6", "C3", "ratio", "2025Q4", 0.0, -9),
+        ("tie-a", "C4", "quality", "2026Q2", 1.0, 7), ("tie-z", "C4", "quality", "2026Q2", 2.0, 7), ("7", "C4", "quality", "2025Q4", 0.0, -9),
+    ])
+    c1 = found["C1", "revenue"]
+    assert (c1["current_value"], c1["previous_period_id"], c1["change_value"], c1["direction"]) == (120.0, "2025Q4", 30.0, "up")
+    assert c1["change_pct"] == pytest.approx(1 / 3)
+    c2 = found["C2", "margin"]
+    assert c2["current_value"] == 7.0 and all(c2[k] is None for k in ("previous_period_id", "previous_value", "change_value", "change_pct", "direction"))
+    c3 = found["C3", "ratio"]
+    assert (c3["change_value"], c3["change_pct"], c3["direction"]) == (5.0, None, "up")
+    assert (found["C4", "quality"]["current_value"], found["C4", "quality"]["previous_period_id"]) == (2.0, "2025Q4")
+
+
+@pytest.mark.parametrize(
+    ("previous", "current", "pct", "direction"),
+    [(-10.0, 5.0, 1.5, "up"), (4.0, 4.0, 0.0, "neutral"), (0.0, 0.0, 0.0, "neutral"), (0.0, -1.0, None, "down"), (10.0, 5.0, -0.5, "down"), (None, 5.0, None, None)],
+)
+def test_changes(bronze, previous, current, pct, direction):
+    row = mart(bronze, [("a", "C", "m", "2026Q1", previous, 0), ("b", "C", "m", "2026Q2", current, 0)])["C", "m"]
+    assert (row["change_pct"], row["direction"]) == (pct, direction)
+
+
+def test_null_current_and_nan(bronze):
+    nothing = mart(bronze, [("a", "C", "m", "2026Q1", 1.0, 0), ("b", "C", "m", "2026Q2", None, 0)])["C", "m"]
+    assert (nothing["change_value"], nothing["direction"]) == (None, "neutral")
+    nan = mart(bronze, [("a", "C", "m", "2026Q1", 1.0, 0), ("b", "C", "m", "2026Q2", float("nan"), 0)])["C", "m"]
+    assert nan["direction"] == "up"
+
+
+def test_gaps_null_keys_and_nothing(bronze):
+    found = mart(bronze, [("a", "C", "m", "2019Q3", 1.0, 0), ("b", "C", "m", "2026Q2", 2.0, 0), ("c", None, "m", "2026Q2", 2.0, 0), ("d", "C", None, "2026Q2", 2.0, 0)])
+    assert list(found) == [("C", "m")] and found["C", "m"]["previous_period_id"] == "2019Q3"
+    assert compare_periods(bronze([])).count() == 0
+
+
+def test_one_scan_and_no_join(bronze):
+    plan = compare_periods(bronze([("a", "C", "m", "2026Q1", 1.0, T)]))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2

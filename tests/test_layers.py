@@ -1,0 +1,186 @@
+import hashlib
+import math
+from dataclasses import asdict
+from inspect import signature
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+import quarterline
+from quarterline.sources import store
+
+load_bronze, load_silver, load_gold = quarterline.load_bronze_observations, quarterline.load_silver_observations, quarterline.load_gold_observations
+
+
+def row(oid, value=1.0, period="2026Q2", at="2026-01-01T00:00:00+00:00", company="C1", metric="revenue"):
+    return {"observation_id": oid, "company_id": company, "metric_id": metric, "period_id": period, "value": value, "ingested_at": at}
+
+
+LATER = "2026-02-01T00:00:00+00:00"
+EARLIER = "2025-02-01T00:00:00+00:00"
+
+
+def test_only_names_can_delete():
+    assert list(signature(load_silver).parameters) == ["spark", "bronze_object", "silver_object"]
+    assert list(signature(load_gold).parameters) == ["spark", "silver_object", "gold_object"]
+
+
+def test_bronze_dedup_and_rerun(spark, names):
+    rows = [row("1", 120.0, at=LATER), row("1", 121.0), row("2", 31.5), row("2", 31.5)]
+    first = load_bronze(spark, rows, names[0])
+    assert asdict(first) == {"bronze_object": names[0], "input_rows": 4, "batch_rows_after_dedup": 2, "inserted_rows": 2, "updated_rows": 0, "final_row_count": 2}
+    again = load_bronze(spark, rows, names[0])
+    assert (again.inserted_rows, again.updated_rows, again.final_row_count) == (0, 0, 2)
+    assert {r["observation_id"]: r["value"] for r in spark.table(names[0]).collect()} == {"1": 120.0, "2": 31.5}
+    assert store.version(spark, names[0]) == 1
+
+
+def test_timestamp_tie_goes_to_the_greater_hash(spark, names):
+    load_bronze(spark, [row("t", 100.0), row("t", 200.0)], names[0])
+    winner = max((100.0, 200.0), key=lambda v: hashlib.sha256(f"C1||revenue||2026Q2||{v}".encode()).hexdigest())
+    assert spark.table(names[0]).first()["value"] == winner
+
+
+def test_stamps_alone_change_nothing_and_older_batches_still_win(spark, names):
+    load_bronze(spark, [row("1", 1.0)], names[0])
+    assert load_bronze(spark, [row("1", 1.0, at=LATER)], names[0]).updated_rows == 0
+    assert spark.table(names[0]).first()["ingested_at"].year == 2026
+    assert load_bronze(spark, [row("1", 2.0, at=EARLIER)], names[0]).updated_rows == 1
+    stored = spark.table(names[0]).first()
+    assert (stored["value"], stored["ingested_at"].year) == (2.0, 2025)
+
+
+def test_null_ids_are_inserted_each_time(spark, names):
+    for expected in (1, 2):
+        assert load_bronze(spark, [row(None)], names[0]).final_row_count == expected
+
+
+def test_silver_snapshot_rerun_and_counters(spark, names):
+    load_bronze(spark, [row("1"), row("2", metric="margin"), row("3", period="2026-T2")], names[0])
+    first = load_silver(spark, *names[:2])
+    assert asdict(first) == {
+        "silver_object": names[1], "bronze_input_rows": 3, "bronze_structurally_valid_rows": 2, "bronze_rejected_rows_total": 1,
+        "bronze_rejected_rows_by_reason": {"invalid_period_id": 1}, "silver_batch_rows_after_dedup": 2, "inserted_rows": 2,
+        "updated_rows": 0, "silver_deleted_rows": 0, "silver_final_row_count": 2, "bronze_distinct_valid_observation_ids": 2, "reconciliation_delta": 0,
+    }
+    again = load_silver(spark, *names[:2])
+    assert (again.inserted_rows, again.updated_rows, again.silver_deleted_rows, again.reconciliation_delta) == (0, 0, 0, 0)
+
+
+def test_valid_to_invalid_deletes(spark, names):
+    load_bronze(spark, [row("keep"), row("flip")], names[0])
+    load_silver(spark, *names[:2])
+    load_bronze(spark, [row("flip", period="2026-T2", at=LATER)], names[0])
+    result = load_silver(spark, *names[:2])
+    assert (result.silver_deleted_rows, result.bronze_rejected_rows_total, result.silver_final_row_count) == (1, 1, 1)
+
+
+def test_non_finite_values_and_an_emptied_silver(spark, names):
+    load_bronze(spark, [row("1", 10.0), row("2", math.nan), row("3", math.inf), row("4", -math.inf)], names[0])
+    result = load_silver(spark, *names[:2])
+    assert (result.bronze_rejected_rows_by_reason, result.silver_final_row_count) == ({"invalid_value": 3}, 1)
+    load_bronze(spark, [row("1", math.nan)], names[0])
+    assert load_silver(spark, *names[:2]).silver_final_row_count == 0
+
+
+def test_validation_comes_before_the_choice_of_the_latest(spark, names):
+    load_bronze(spark, [row(" x", math.nan, at=LATER), row("x", 5.0)], names[0])
+    load_silver(spark, *names[:2])
+    assert [(r["observation_id"], r["value"]) for r in spark.table(names[1]).collect()] == [("x", 5.0)]
+
+
+def test_malformed_text_is_rejected_not_raised(spark, names):
+    load_bronze(spark, [row("1", "abc"), row("2", at="nope")], names[0])
+    assert load_silver(spark, *names[:2]).bronze_rejected_rows_by_reason == {"invalid_value": 1, "invalid_ingested_at": 1}
+
+
+def load_all(spark, names, rows):
+    load_bronze(spark, rows, names[0])
+    load_silver(spark, *names[:2])
+    return load_gold(spark, *names[1:])
+
+
+def test_gold_changes_and_deletes(spark, names):
+    first = load_all(spark, names, [row("cur", 100.0), row("prev", 80.0, "2025Q4"), row("m", 11.0, company="M2", metric="margin")])
+    assert (first.inserted_rows, first.gold_batch_rows, first.reconciliation_delta, first.silver_input_rows) == (2, 2, 0, 3)
+    rerun = load_gold(spark, *names[1:])
+    assert (rerun.inserted_rows, rerun.updated_rows, rerun.deleted_rows) == (0, 0, 0)
+    mart = lambda: {r["company_id"]: r["change_value"] for r in spark.table(names[2]).collect()}
+    assert load_all(spark, names, [row("cur", 130.0, at=LATER)]).updated_rows == 1 and mart()["C1"] == 50.0
+    assert load_all(spark, names, [row("prev", 70.0, "2025Q4", at=LATER)]).updated_rows == 1 and mart()["C1"] == 60.0
+    gone = load_all(spark, names, [row("m", 11.0, "BAD", at=LATER, company="M2", metric="margin")])
+    assert (gone.deleted_rows, gone.reconciliation_delta, set(mart())) == (1, 0, {"C1"})
+    log = store.history(spark, names[2])
+    assert [c.operation for c in log] == ["CREATE", "SYNC", "SYNC", "SYNC"] and log[-1].deleted_rows == 1
+    assert store.read_version(spark, names[2], 1).count() == 2
+    assert len(store.vacuum(spark, names[2], keep=1)) == 3 and spark.table(names[2]).count() == 1
+
+
+def test_sign_of_zero_changes_the_mart(spark, names):
+    load_all(spark, names, [row("a", 0.0), row("b", 1.0, "2025Q4")])
+    assert load_all(spark, names, [row("c", -0.0, at=LATER)]).updated_rows == 1
+
+
+def test_gold_accepts_only_its_own_tables(spark, names):
+    load_bronze(spark, [row("1")], names[0])
+    load_silver(spark, *names[:2])
+    spark.table(names[1]).createOrReplaceTempView("some_view")
+    with pytest.raises(ValueError, match="persisted full snapshot table"):
+        load_gold(spark, "some_view", names[2])
+    spark.sql(f"CREATE TABLE {names[2]} USING parquet AS SELECT * FROM {names[1]}")
+    with pytest.raises(ValueError, match="persisted full snapshot table"):
+        load_gold(spark, names[2], "never_made")
+
+
+def test_silver_accepts_a_view(spark, names):
+    load_bronze(spark, [row("1")], names[0])
+    spark.table(names[0]).createOrReplaceTempView("bronze_view")
+    assert load_silver(spark, "bronze_view", names[1]).silver_final_row_count == 1
+
+
+def test_missing_sources(spark, names):
+    with pytest.raises(ValueError, match="does not exist"):
+        load_silver(spark, "nothing_here", names[1])
+    with pytest.raises(ValueError, match="does not exist"):
+        load_gold(spark, "nothing_here", names[2])
+    spark.range(1).createOrReplaceTempView("odd")
+    with pytest.raises(ValueError, match="missing required columns: company_id"):
+        load_silver(spark, "odd", names[1])
+
+
+def test_another_writer_is_noticed(spark, names, monkeypatch):
+    load_bronze(spark, [row("1")], names[0])
+    real, calls = store._location, []
+
+    def moved(s, name):
+        calls.append(name)
+        return real(s, name) if len(calls) < 3 else "elsewhere/v00000009"
+
+    monkeypatch.setattr(store, "_location", moved)
+    with pytest.raises(RuntimeError, match="another writer"):
+        load_bronze(spark, [row("2")], names[0])
+
+
+ROWS = st.lists(
+    st.builds(row, st.sampled_from(["a", "b", "c", None]), st.sampled_from([1.0, 2.0, math.nan, None]), st.sampled_from(["2026Q1", "2026Q2", "x"]), st.sampled_from([EARLIER, LATER])),
+    min_size=1, max_size=8,
+)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ROWS, st.randoms())
+def test_order_of_a_batch_and_conservation(spark, rows, random):
+    import uuid
+
+    a, b, silver = (f"t_{uuid.uuid4().hex[:10]}" for _ in range(3))
+    mixed = rows[:]
+    random.shuffle(mixed)
+    load_bronze(spark, rows, a)
+    load_bronze(spark, mixed, b)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(spark.table(a)) == key(spark.table(b))
+    result = load_silver(spark, a, silver)
+    assert result.reconciliation_delta == 0 and result.bronze_input_rows == result.bronze_structurally_valid_rows + result.bronze_rejected_rows_total
+    for t in (a, b, silver):
+        spark.sql(f"DROP TABLE {t}")
