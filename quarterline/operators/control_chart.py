@@ -71,13 +71,18 @@ def seasonal_profile(x: np.ndarray) -> np.ndarray:
 
 
 def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarray:
-    """What the values before it lead one to expect at each period; NaN before the first one."""
+    """What the values before it lead one to expect at each period; NaN before the first one.
+
+    Values of a departure that lasted too long for a spike are expected at its own mean, the first of them included.
+    """
     n, t = x.shape
     mean = np.full(n, np.nan)
     spread = scale.copy()
     out_for = np.zeros(n, int)  # length of the current run out of control, signed
     outside = np.full(n, np.nan)  # mean of that run
     expected = np.full((n, t), np.nan)
+    recent = np.full((n, rules.longest + 1), -1)  # periods of the current run, newest first
+    every = np.arange(n)
     for k in range(t):
         value, known = x[:, k], ~np.isnan(x[:, k])
         fresh = known & np.isnan(mean)
@@ -88,7 +93,10 @@ def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarr
         goes_on = (side != 0) & (np.sign(out_for) == side)
         out_for = np.where(known, np.where(side == 0, 0, np.where(goes_on, out_for + side, side)), out_for)
         outside = np.where(goes_on, outside + (value - outside) / np.maximum(np.abs(out_for), 1), np.where(side != 0, value, outside))
-        adopt = np.abs(out_for) > rules.longest
+        adopt = known & (np.abs(out_for) > rules.longest)
+        recent = np.where((side != 0)[:, None], np.concatenate([np.full((n, 1), k), recent[:, :-1]], axis=1), recent)
+        for j in range(rules.longest + 1):
+            expected[every[adopt], recent[adopt, j]] = outside[adopt]
         clipped = np.clip(residual, -bound, bound)
         step = np.where(side != 0, 0.0, rules.weight * clipped)
         mean = np.where(fresh, value, np.where(adopt, outside, np.where(known, mean + step, mean)))
