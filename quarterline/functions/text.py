@@ -27,20 +27,20 @@ def identifier(column: Column) -> Column:
     return F.nullif(trimmed(column), F.lit(""))
 
 
+def _by_name(period: Column) -> Column:
+    """Uses its argument once: an expression that is used often is evaluated as often in filters and branches."""
+    names = (f"{y}Q{q}" for y in range(FIRST_YEAR, LAST_YEAR + 1) for q in range(1, 5))
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in zip(names, range(QUARTERS), strict=True) for x in pair)), period)
+
+
 def quarter_index(column: Column) -> Column:
     """Quarters since the first one for a trimmed YYYYQn inside the known years, else null."""
-    period = trimmed(column)
-    known = [f"{y}Q{q}" for y in range(FIRST_YEAR, LAST_YEAR + 1) for q in range(1, 5)]
-    year, quarter = F.substring(period, 1, 4), F.substring(period, 6, 1)
-    return F.when(period.isin(known), (year.try_cast("int") - FIRST_YEAR) * 4 + quarter.try_cast("int") - 1)
+    return _by_name(trimmed(column))
 
 
 def readable_quarter_index(column: Column) -> Column:
     """quarter_index that also reads q or T for Q, another separator, the quarter first and full-width digits."""
-    narrow = F.upper(F.translate(trimmed(column), "０１２３４５６７８９", "0123456789"))
-    year_first = F.regexp_extract(narrow, "^([0-9]{4})[-/ ]?[QT]?([1-4])\\z", 0)
-    quarter_first = F.regexp_replace(narrow, "^[QT]([1-4])[-/ ]([0-9]{4})\\z", "$2Q$1")
-    plain = F.when(
-        F.length(year_first) > 0, F.concat(F.substring(narrow, 1, 4), F.lit("Q"), F.substring(narrow, -1, 1))
-    ).otherwise(quarter_first)
-    return F.coalesce(quarter_index(column), quarter_index(plain))
+    period = trimmed(column)
+    narrow = F.upper(F.translate(period, "０１２３４５６７８９", "0123456789"))
+    either = F.regexp_replace(narrow, "^(?:([0-9]{4})[-/ ]?[QT]?([1-4])|[QT]([1-4])[-/ ]([0-9]{4}))\\z", "$1$4Q$2$3")
+    return F.coalesce(_by_name(period), _by_name(either))
