@@ -205,7 +205,8 @@ def _departures(rules: DepartureRules, facets: list[str], column: str):
                         continue
                     if distance[k] > max(rules.least_share, centre + rules.beyond * spread) + noise[k]:
                         found[load] = max(found.get(load, 0.0), distance[k])
-        return pd.DataFrame({"batch_id": list(found), "column_name": column, "share": list(found.values())})
+        out = pd.DataFrame([(load, column, share) for load, share in found.items()], columns=["batch_id", "column_name", "share"])
+        return out.astype({"batch_id": object, "column_name": object, "share": float})
 
     return judge
 
