@@ -95,7 +95,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], lookahead: int) -> None:
         self.ranks, self.lookahead = ranks, lookahead
         self.window = max(4 * lookahead, 1024)
-        self._none = len(ranks) + 1
+        self._none = max(ranks.values(), default=0) + 1
         self._words = _Remembered(self)
         self._find = regex.compile(WORD_PATTERN).findall
 
