@@ -18,7 +18,7 @@ from quarterline.llm.patterns import pack
 from quarterline.llm.tokens import VOCABULARIES, token_counts
 from quarterline.sources import files
 
-GROUPS = 64
+GROUPS = 1024
 #: Bounds of what the driver gathers and broadcasts, checked: capacities altogether and intervals of the plan.
 MOST_CAPACITY, MOST_INTERVALS = 4_000_000, 4_000_000
 
