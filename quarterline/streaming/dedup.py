@@ -80,8 +80,8 @@ class SeenStore:
         mark = max(filter(None, [watermark or watermark_of(rows), before and before.watermark]), default=None)
         known = self._read(before.hot if before else [], _STATE)
         if before and before.archive:
-            # Only identifiers that the hot state doesn't know need the archive.
-            asked = rows.select("id").join(known.select("id"), "id", "left_anti")
+            # Only identifiers that the hot state doesn't know need the archive; once each, however often they came.
+            asked = rows.select("id").distinct().join(known.select("id"), "id", "left_anti")
             known = known.union(self._read(before.archive, _STATE).join(asked, "id", "left_semi"))
         copy = F.struct(F.col("stamp"), (-F.col("row_id")).alias("order"))
         seen = F.coalesce(event_time(F.col("stamp")), F.lit(mark).cast("timestamp_ntz"))
