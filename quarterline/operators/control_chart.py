@@ -20,7 +20,9 @@ SEASON = 4
 class ChartRules:
     """limit: departure from the prediction in usual deviations that is out of control. longest: successive reported
     values that a spike may last. stuck: successive reported values that make a run. moving: share of successive values
-    that must differ in a series whose runs are suspicious; least_changes, most_runs: changes
+    that must differ in a series whose runs are suspicious; uncertainty: part of the usual deviation
+    of a long series that is its prediction's; frequent: share of the other values from which a
+    run's value is none; least_changes, most_runs: changes
     that such a series must and long runs that it may have. fewest: reported values that a series needs to be judged. weight: of
     a new value in the mean. clip: departure in scales beyond which a value counts no further; twice that is out of
     control. gate: departure from either prediction alone. least_usual: usual deviation of a proportional series that
@@ -35,6 +37,8 @@ class ChartRules:
     clip: float = 2.5
     gate: float = 4.0
     least_usual: float = 0.005
+    uncertainty: float = 0.13
+    frequent: float = 0.1
     least_changes: int = 3
     most_runs: int = 2
 
@@ -59,15 +63,21 @@ def _neighbour_level(x: np.ndarray, reach: int) -> np.ndarray:
 
 
 def seasonal_profile(x: np.ndarray) -> np.ndarray:
-    """Usual difference of each season from the level around it; zero where a season was hardly ever reported."""
+    """Usual difference of each value's season from the level around it, from the other years only, so that a value
+    doesn't explain itself; zero where a season was hardly ever reported."""
     n, t = x.shape
     difference = x - _neighbour_level(x, SEASON)
-    profile = np.zeros((n, t))
+    profile, centre = np.zeros((n, t)), np.zeros(n)
     for s in range(SEASON):
         own = difference[:, s::SEASON]
-        usual, seen = _median(own), np.sum(~np.isnan(own), axis=1)
-        profile[:, s::SEASON] = np.where(seen >= 3, usual, 0.0)[:, None]
-    return profile - profile[:, :SEASON].mean(axis=1, keepdims=True)
+        seen = np.sum(~np.isnan(own), axis=1)
+        centre += np.where(seen >= 3, _median(own), 0.0) / SEASON
+        years = own.shape[1]
+        for y in range(years):
+            others = own.copy()
+            others[:, y] = np.nan
+            profile[:, s + SEASON * y] = np.where(seen - ~np.isnan(own[:, y]) >= 2, _median(others), 0.0)
+    return np.where(np.isnan(profile), 0.0, profile) - centre[:, None]
 
 
 def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarray:
@@ -162,6 +172,11 @@ def stuck_runs(candidates: np.ndarray, x: np.ndarray, rules: ChartRules) -> np.n
     still = still.reshape(n, t)
     outside = ~np.isnan(x) & np.isnan(still) & ~np.isnan(_last_reported(x))
     changes = np.sum(outside & (x != _last_reported(x)), axis=1)
+    # A value that is frequent in the rest of the series, too, may well come six times in a row.
+    some = np.flatnonzero(~np.isnan(still).all(axis=1))
+    elsewhere = ((x[some][:, :, None] == still[some][:, None, :]) & outside[some][:, :, None]).sum(axis=1)
+    usual = elsewhere > rules.frequent * outside[some].sum(axis=1, keepdims=True)
+    still[some] = np.where(usual, np.nan, still[some])
     begins = ~np.isnan(still) & (still != _last_reported(still))
     moving = (changes >= np.maximum(rules.moving * np.sum(outside, axis=1), rules.least_changes)) & (np.sum(begins, axis=1) <= rules.most_runs)
     return np.where(moving[:, None], still, np.nan)
@@ -201,6 +216,8 @@ def judge_spikes(x: np.ndarray, rules: ChartRules) -> Judged:
         moved = _differs_from_previous(x)
         usual = 1.4826 * _median(np.where(moved, away, np.nan))
         usual = np.where(np.sum(moved, axis=1) >= rules.fewest, usual, 1.4826 * _median(away))
+        # What is left contains the uncertainty of season and prediction, which long series show to be so much.
+        usual /= 1 + rules.uncertainty * np.clip((reported - 16) / 12, 0, 1)
         usual = np.where(steady, np.fmax(usual, rules.least_usual), usual)
         usual = np.where((usual > 0) & (reported >= rules.fewest), usual, np.nan)[:, None] * unit
         # Out of control for both charts, and that far from what both together lead one to expect.

@@ -73,6 +73,11 @@ def test_runs(bronze, catalog):
     assert found == [k + 1 for k, r in enumerate(rows) if r[1] == "C" and r[4] == 950.0] and len(found) == 6
 
 
+def test_a_frequent_value_may_repeat(bronze, catalog):
+    values = [0.0 if k in (1, 4, 7, 20, 23, 29) or 10 <= k < 16 else v for k, v in enumerate(wave(seed=5, noise=0.3))]
+    assert flagged(bronze, catalog, series(values)) == []
+
+
 def test_no_series_no_quarter_nothing(bronze, catalog):
     values = wave()
     values[9] = 30_000.0
