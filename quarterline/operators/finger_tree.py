@@ -80,3 +80,13 @@ class FingerForest:
             if low and whole < level.shape[1]:
                 children = self.levels[low - 1][:, whole * ARITY : (whole + 1) * ARITY]
                 level[:, whole] = self.monoid.ufunc.reduce(children, axis=1)
+
+
+def finger_by_day(ends: list[int], allowed: int, first: int, last: int) -> list[int]:
+    """Per day of arrival from `first` to `last`, the finger: how many leading leaves are closed for such arrivals.
+
+    A leaf closes `allowed` days after its end; ends are days, in order. With the cut-off as allowance this is the left
+    finger, before which an insert is refused; with the usual delay it is the one before which an insert is a correction.
+    """
+    days = np.arange(first, last + 1)
+    return np.searchsorted(np.array(ends) + allowed, days, side="right").tolist()

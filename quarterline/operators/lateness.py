@@ -1,6 +1,8 @@
 """Aggregates per quarter by event time that late rows correct up to a cut-off, and the rows that were late.
 
 Event time is the quarter, arrival is ingested_at; lateness is the arrival minus the first instant after the quarter.
+An arrival sees a tree of quarters with two fingers: before the left one the tree is cut off and refuses the row (too
+late), between the fingers the row corrects a quarter that was closed (late).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.expr import is_finite
 from quarterline.functions.text import FIRST_YEAR, QUARTERS, identifier, quarter_index
-from quarterline.operators.finger_tree import COUNT, MIN_STAMP, TOTAL, FingerForest
+from quarterline.operators.finger_tree import COUNT, MIN_STAMP, TOTAL, FingerForest, finger_by_day
 from quarterline.operators.whole_groups import group_numbers, whole_groups
 
 LATE_DAYS, CUT_OFF_DAYS = 45, 200
@@ -25,14 +27,25 @@ _SERIES = ("company", "metric")
 FIRST_STAMP, END_STAMP = "2015-01-01", "2027-01-01"
 
 
-def _quarter_end(quarter: Column) -> Column:
-    """Microseconds of the first instant after the quarter, on the UTC calendar; a constant list, looked up once."""
-    ends = (date(FIRST_YEAR + q // 4, 3 * (q % 4) + 1, 1).toordinal() - date(1970, 1, 1).toordinal() for q in range(1, QUARTERS + 1))
-    return F.get(F.array(*(F.lit(days * _DAY) for days in ends)), quarter)
+def _day(year: int, month: int) -> int:
+    return (date(year, month, 1) - date(1970, 1, 1)).days
+
+
+#: Day after each quarter.
+_ENDS = [_day(FIRST_YEAR + q // 4, 3 * (q % 4) + 1) for q in range(1, QUARTERS + 1)]
+#: A row that arrives on the very instant a quarter closes is still in time, so a day begins one tick late.
+_FIRST_DAY, _LAST_DAY = _day(int(FIRST_STAMP[:4]), 1) - 1, _day(int(END_STAMP[:4]), 1)
+
+
+def _finger(allowed: int) -> Column:
+    """Quarters that are closed for a row by its arrival: a constant list with one entry a day, looked up once."""
+    closed = finger_by_day(_ENDS, allowed, _FIRST_DAY, _LAST_DAY)
+    table = F.split(F.lit(",".join(map(str, closed))), ",").cast("array<int>")
+    return F.get(table, (F.expr(f"(arrived - 1) div {_DAY}") - _FIRST_DAY).cast("int"))
 
 
 def participants(bronze: DataFrame) -> DataFrame:
-    """row_id, company, metric (null where blank), quarter, arrived and lateness in microseconds, value, batch_id.
+    """row_id, company, metric (null where blank), quarter, arrived in microseconds, value, batch_id.
 
     Rows whose quarter can't be read or whose stamp is missing or impossible are left out.
     """
@@ -43,7 +56,7 @@ def participants(bronze: DataFrame) -> DataFrame:
         "row_id", "batch_id", "value", identifier(F.col("company_id")).alias("company"),
         identifier(F.col("metric_id")).alias("metric"), quarter_index(F.col("period_id")).alias("quarter"), arrived.alias("arrived"),
     )
-    return rows.where("quarter IS NOT NULL").withColumn("lateness", F.col("arrived") - _quarter_end(F.col("quarter")))
+    return rows.where("quarter IS NOT NULL")
 
 
 def _overtaken_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,9 +81,8 @@ def late_rows(bronze: DataFrame) -> DataFrame:
     earliest arrival per quarter, and only nodes with an overtaken row come back to be joined with the rows.
     """
     rows = participants(bronze)
-    by_cut_off = rows.where(F.col("lateness") > LATE_DAYS * _DAY).select(
-        "row_id", F.when(F.col("lateness") > CUT_OFF_DAYS * _DAY, "too_late").otherwise("late").alias("kind")
-    )
+    refused = F.when(F.col("quarter") < _finger(CUT_OFF_DAYS), "too_late").otherwise("late")
+    by_cut_off = rows.where(F.col("quarter") < _finger(LATE_DAYS)).select("row_id", refused.alias("kind"))
     keyed = rows.where("company IS NOT NULL AND metric IS NOT NULL").select("row_id", "company", "metric", "quarter", "arrived")
     nodes = (
         keyed.groupBy("company", "metric", "quarter")
@@ -84,19 +96,35 @@ def late_rows(bronze: DataFrame) -> DataFrame:
 
 
 def _replay(deltas: pd.DataFrame) -> pd.DataFrame:
-    """As of each load, count and sum of every quarter, from one tree per aggregate."""
+    """As of each load, count and sum of every quarter, from one tree per aggregate.
+
+    Once no arrival that is still to come can reach a quarter, it is final, and the trees evict it with all before it.
+    """
     counts, sums = FingerForest(1, QUARTERS, COUNT), FingerForest(1, QUARTERS, TOTAL)
-    corrected, out = np.zeros(QUARTERS, np.int64), []
-    zero = np.zeros(1, int)
-    for load, rows in deltas.sort_values("load_number").groupby("load_number", sort=True):
+    corrected, final_n, final_sum = np.zeros(QUARTERS, np.int64), np.zeros(QUARTERS, np.int64), np.zeros(QUARTERS, object)
+    loads = [(load, rows) for load, rows in deltas.groupby("load_number", sort=True)]
+    to_come = np.minimum.accumulate([rows["earliest"].min() for _, rows in loads][::-1])[::-1]
+    closed, out, tree = finger_by_day(_ENDS, CUT_OFF_DAYS, _FIRST_DAY, _LAST_DAY), [], np.zeros(QUARTERS, int)
+    for k, (load, rows) in enumerate(loads):
         time = rows["quarter"].to_numpy()
-        same = np.zeros(len(rows), int)
-        counts.insert(same, time, rows["n"].to_numpy())
-        sums.insert(same, time, np.array([int(x) for x in rows["total"]], object))
+        counts.insert(tree[: len(rows)], time, rows["n"].to_numpy())
+        sums.insert(tree[: len(rows)], time, np.array([int(x) for x in rows["total"]], object))
         np.add.at(corrected, time, rows["late"].to_numpy())
-        for q in np.flatnonzero(counts.levels[0][0]):
-            at = np.array([q])
-            out.append((int(load), int(q), int(counts.at(zero, at)[0]), str(sums.at(zero, at)[0]), int(corrected[q]), int(counts.after(zero, at)[0])))
+        left, every = counts.left, np.arange(QUARTERS)
+        live = every >= left
+        n = np.where(live, counts.at(tree, every), final_n)
+        total = np.where(live, sums.at(tree, every), final_sum)
+        later = counts.after(tree, np.maximum(every, left))
+        # Evicted quarters: what follows them is all that lives, and the evicted ones after them.
+        evicted_after = final_n[:left][::-1].cumsum()[::-1] - final_n[:left]
+        later[:left] = evicted_after + counts.total()[0]
+        out += [(int(load), int(q), int(n[q]), str(total[q]), int(corrected[q]), int(later[q])) for q in np.flatnonzero(n)]
+        if k + 1 < len(loads):
+            cut = closed[(int(to_come[k + 1]) - 1) // _DAY - _FIRST_DAY]
+            gone = slice(left, max(cut, left))
+            final_n[gone], final_sum[gone] = n[gone], total[gone]
+            counts.cut(cut)
+            sums.cut(cut)
     return pd.DataFrame(out, columns=["load_number", "quarter", "n", "total", "late", "later"])
 
 
@@ -109,7 +137,7 @@ def period_aggregates(bronze: DataFrame) -> DataFrame:
     rows.
     """
     number = F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int")
-    taken = participants(bronze).where((F.col("lateness") <= CUT_OFF_DAYS * _DAY) & is_finite(F.col("value")))
+    taken = participants(bronze).where((F.col("quarter") >= _finger(CUT_OFF_DAYS)) & is_finite(F.col("value")))
     scaled = F.col("value").cast("decimal(30,4)") * 10_000
     deltas = (
         taken.withColumn("load_number", number)
@@ -117,7 +145,7 @@ def period_aggregates(bronze: DataFrame) -> DataFrame:
         .groupBy("load_number", "quarter")
         .agg(
             F.count("*").alias("n"), F.sum(scaled.cast("decimal(28,0)")).cast("string").alias("total"),
-            F.count_if(F.col("lateness") > LATE_DAYS * _DAY).alias("late"),
+            F.count_if(F.col("quarter") < _finger(LATE_DAYS)).alias("late"), F.min("arrived").alias("earliest"),
         )
     )
     steps = deltas.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_replay, "load_number int, quarter int, n long, total string, late long, later long")

@@ -84,3 +84,27 @@ def test_aggregates_are_corrected_until_the_cut_off(bronze):
         (1, "2023Q1"): (1, 1.25, 0, 1), (1, "2023Q2"): (1, 7.0, 0, 0), (2, "2023Q1"): (2, 3.25, 1, 1), (2, "2023Q2"): (1, 7.0, 0, 0),
         (3, "2023Q1"): (3, 7.25, 1, 1), (3, "2023Q2"): (1, 7.0, 0, 0),
     }
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(0, 39), st.integers(0, 245), st.integers(-9, 9)), max_size=40))
+def test_replay_with_eviction_against_lists(rows):
+    """Rows are (load, quarter, days after the quarter, value); later loads mostly arrive later, but need not."""
+    import pandas as pd
+
+    from quarterline.operators import lateness as module
+
+    taken = [(load, q, module._ENDS[q] + d, v, d > 45) for load, q, d, v in rows if d <= 200]
+    deltas = pd.DataFrame(
+        [(load, q, 1, str(v), int(late), day * module._DAY) for load, q, day, v, late in taken],
+        columns=["load_number", "quarter", "n", "total", "late", "earliest"],
+    )
+    deltas = deltas.astype({"load_number": int, "quarter": int, "n": int, "late": int, "earliest": int})
+    found = {tuple(r) for r in module._replay(deltas).itertuples(index=False)}
+    expected = set()
+    for load in {t[0] for t in taken}:
+        seen = [t for t in taken if t[0] <= load]
+        for q in {t[1] for t in seen}:
+            mine = [t for t in seen if t[1] == q]
+            expected.add((load, q, len(mine), str(sum(t[3] for t in mine)), sum(t[4] for t in mine), sum(t[1] > q for t in seen)))
+    assert found == expected
