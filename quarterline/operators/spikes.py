@@ -35,6 +35,29 @@ def _charted(rules: ChartRules):
     return run
 
 
+def _rows(bronze: DataFrame) -> DataFrame:
+    metric = identifier(F.col("metric_id"))
+    return bronze.where("value IS NOT NULL AND NOT isnan(value)").select(
+        "row_id", "value", identifier(F.col("company_id")).alias("company"), metric.alias("metric"),
+        readable_quarter_index(F.col("period_id")).alias("quarter"), F.substring_index(metric, "@", 1).alias("code"),
+    )
+
+
+def _limits(catalog: DataFrame) -> DataFrame:
+    named = catalog.select(F.col("metric_code").alias("code"), F.col("lower_limit").alias("lower"), F.col("upper_limit").alias("upper"))
+    return named.dropDuplicates(["code"])
+
+
+def _impossible():
+    value = F.col("value")
+    return ~is_finite(value) | F.coalesce((value < F.col("lower")) | (value > F.col("upper")), F.lit(False))
+
+
+def beyond_limits(bronze: DataFrame, catalog: DataFrame) -> DataFrame:
+    """row_id of the rows whose value is infinite or beyond the limits of its metric."""
+    return _rows(bronze).join(_limits(catalog), "code", "left").where(_impossible()).select("row_id")
+
+
 def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules | None = None) -> DataFrame:
     """row_id of every delivered row, copies included, whose value is implausible.
 
@@ -47,14 +70,8 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     one task in numbers. Charts return only quarters that hold an implausible value, and those are joined to the rows.
     """
     rules = rules or ChartRules()
-    limits = catalog.select(F.col("metric_code").alias("code"), F.col("lower_limit").alias("lower"), F.col("upper_limit").alias("upper")).dropDuplicates(["code"])
-    metric = identifier(F.col("metric_id"))
-    rows = bronze.where("value IS NOT NULL AND NOT isnan(value)").select(
-        "row_id", "value", identifier(F.col("company_id")).alias("company"), metric.alias("metric"),
-        readable_quarter_index(F.col("period_id")).alias("quarter"), F.substring_index(metric, "@", 1).alias("code"),
-    )
-    impossible = ~is_finite(F.col("value")) | F.coalesce((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")), F.lit(False))
-    beyond = rows.join(limits, "code", "left").where(impossible).select("row_id")
+    rows, limits = _rows(bronze), _limits(catalog)
+    beyond = beyond_limits(bronze, catalog)
     charted = rows.where(is_finite(F.col("value")) & F.expr(" AND ".join(f"{k} IS NOT NULL" for k in _NODE)))
     nodes = (
         charted.groupBy(*_NODE)
@@ -68,5 +85,5 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     )
     value = F.col("value")
     out = (value < F.col("low")) | (value > F.col("high")) | F.coalesce(value == F.col("stuck"), F.lit(False))
-    judged = charted.join(nodes, list(_NODE)).where(out).join(limits, "code", "left").where(~impossible).select("row_id")
+    judged = charted.join(nodes, list(_NODE)).where(out).join(limits, "code", "left").where(~_impossible()).select("row_id")
     return beyond.union(judged)

@@ -166,6 +166,16 @@ _P1_PROFILE = " UNION ALL ".join(
     )
 )
 
+
+
+def _shown(value: str, decimals: int, plus: str = "") -> str:
+    t = f"format('{{:.{decimals}f}}', {value})"
+    return f"""CASE WHEN {t} LIKE '-%' THEN '-' ELSE '{plus}' END || format('{{:,}}', CAST(split_part(ltrim({t}, '-'), '.', 1) AS BIGINT))
+        || '.' || split_part({t}, '.', 2)"""
+
+
+_SHOWN = {c: _shown(c, 2) for c in ("current_value", "previous_value", "change_value")} | {"change_pct": _shown("(change_pct * 100)", 1, "+") + " || '%'"}
+
 ORACLES = {
     "bronze_latest": f"""SELECT * FROM (SELECT observation_id, company_id, metric_id, period_id, value, ingested_at, {_BRONZE_HASH} AS record_hash FROM slice4_bronze)
         QUALIFY {_LATEST.format(h="record_hash")}""",
@@ -189,12 +199,16 @@ ORACLES = {
     "serving_companies": "SELECT DISTINCT company_id FROM slice4_gold WHERE company_id IS NOT NULL ORDER BY company_id",
     "serving_metrics": f"SELECT DISTINCT metric_id FROM slice4_gold WHERE company_id = '{HOT_COMPANY}' AND metric_id IS NOT NULL ORDER BY metric_id",
     "serving_comparison": f"SELECT company_id, metric_id, {', '.join(MART_PAYLOAD)} FROM slice4_gold WHERE company_id = '{HOT_COMPANY}' ORDER BY metric_id",
+    "display_rows": f"""SELECT {", ".join(f"coalesce({_SHOWN.get(c, c)}, 'N/A') AS {c}" for c in ("company_id", "metric_id", *MART_PAYLOAD))} FROM slice4_gold""",
     "pipeline_bronze_silver_gold": _mart(_SILVER.replace("FROM slice4_bronze", f"""FROM (SELECT * FROM slice4_bronze
         QUALIFY {_LATEST.format(h=_BRONZE_HASH)})""")),
     "lineitem_gold": _mart(_valid(_LINES), hashed=False),
     "events_gold": _mart(_valid(_EVENTS), hashed=False),
     "p1_profile": _P1_PROFILE,
     "p2_found": _P2,
+    "p3_limits": f"""SELECT row_id FROM slice4_bronze b LEFT JOIN metric_catalog c
+        ON split_part({_space_trimmed('b.metric_id')}, '@', 1) = c.metric_code
+        WHERE NOT isnan(value) AND (isinf(value) OR value < lower_limit OR value > upper_limit)""",
     "p4_found": _P4,
     "p4_periods": _P4_PERIODS,
     "p5_found": _P5,

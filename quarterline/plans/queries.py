@@ -120,7 +120,7 @@ def serving_comparison(spark, at):
 
 
 def display_rows(spark, at):
-    """The view model of every mart row; Python formatting, whose rounding SQL engines don't share."""
+    """The view model of every mart row."""
     mart = table(spark, at, "slice4_gold").select(*serving.COMPARISON_COLUMNS)
 
     def shown(batches):
@@ -185,6 +185,10 @@ def p3_found(spark, at):
     return spikes.implausible_rows(_bronze(spark, at), table(spark, at, "metric_catalog"))
 
 
+def p3_limits(spark, at):
+    return spikes.beyond_limits(_bronze(spark, at), table(spark, at, "metric_catalog"))
+
+
 def p4_found(spark, at):
     return lateness.late_rows(_bronze(spark, at))
 
@@ -210,6 +214,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p2_found, p3_found, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
     )
 }
