@@ -13,6 +13,7 @@ _HOME = {
     "load_gold_observations": "plans.layers",
     "classify_rejection_reason": "operators.quality",
     "GoldConfig": "plans.serving",
+    "CachedMart": "plans.serving",
     "fetch_companies": "plans.serving",
     "fetch_company_metrics": "plans.serving",
     "fetch_comparison": "plans.serving",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -9,13 +12,17 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where none is named."""
+    """The folder in spark.checkpoint.dir, which all executors share.
+
+    Where none is named, a cluster has its warehouse, and a local session a temporary folder that goes with the process.
+    """
     key = "spark.checkpoint.dir"
     named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"{key} must name a folder that all executors share")
+    if not named and not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    elif not named:
         named = tempfile.mkdtemp(prefix="quarterline-")
+        atexit.register(shutil.rmtree, named, True)
         spark.conf.set(key, named)
     return named.rstrip("/")
 

@@ -43,6 +43,17 @@ def test_questions_to_a_mart_built_by_the_cli(spark, names, monkeypatch, tmp_pat
     assert [r["change_pct"] for r in shown] == ["N/A", "+20.0%"] and shown[1]["current_value"] == "120.00"
 
 
+def test_answers_are_kept_for_a_while(monkeypatch):
+    asked, now = [], [0.0]
+    for name in ("fetch_companies", "fetch_company_metrics", "fetch_comparison"):
+        monkeypatch.setattr(serving, name, lambda *a: asked.append(a[2:]) or [len(asked)])
+    mart = serving.CachedMart(None, None, clock=lambda: now[0])
+    assert mart.companies() == mart.companies() == [1] and mart.metrics("B") == [2] and mart.metrics("A") == [3]
+    assert mart.comparison("B") == [4] and mart.comparison("B", "m") == [5] and mart.comparison("B") == [4]
+    now[0] = 60.0
+    assert mart.companies() == [6]
+
+
 @pytest.mark.parametrize(
     ("shown", "text"),
     [(display_value(None), "N/A"), (display_value(None, "-"), "-"), (display_value("x"), "x"), (display_number(120), "120.00"), (display_number(1234.5), "1,234.50"),
