@@ -150,11 +150,26 @@ def _facets(column: str) -> dict[str, Column]:
 
 
 def _histogram(counts: ValueCounts, column: str) -> DataFrame:
-    """Rows per load and combination of facets, a table whose size doesn't follow the rows."""
+    """Rows per load and combination of facets, a table whose size doesn't follow the rows; and beside it, with the
+    facets null, how many values occur n times in a load, which grows by the root of the rows at most."""
     facets = {k: v.cast("int") for k, v in _facets(column).items()}
-    keyed = counts.read(column).select("load", "n", *(v.alias(k) for k, v in facets.items()), F.floor(F.log2(F.greatest("n", F.lit(1)))).cast("int").alias("often"))
-    # A value's weight is its share of the load at the lower end of its power of two.
-    return keyed.groupBy("load", *facets, "often").agg(F.sum("n").alias("n"))
+    read = counts.read(column)
+    placed = read.select("load", "n", *(v.alias(k) for k, v in facets.items())).groupBy("load", *facets).agg(F.sum("n").alias("n"))
+    key = F.col("key")
+    missing = key.isNull() | F.isnan(key) if column == "value" else key.isNull()
+    times = read.where("n > 0").groupBy("load", "n", missing.alias("missing")).agg(F.count("*").alias("values"))
+    return placed.unionByName(times, allowMissingColumns=True)
+
+
+def distinct_share(n: np.ndarray, values: np.ndarray, rows: int) -> float:
+    """How varied so many rows drawn from a load are expected to be: 0 if all are equal, 1 if all differ. `values` of
+    its values occur `n` times. Exact and without bias, so that loads of different sizes can be compared."""
+    total = int((n * values).sum())
+    # Of a value's n rows none is drawn; past `reach` that is as good as impossible.
+    reach = int(min(n.max(), total - rows, 50 * total // rows + 1))
+    none = np.append(np.exp(np.append(0.0, np.cumsum(np.log1p(-rows / (total - np.arange(reach)))))), 0.0)
+    seen = (values * (1 - none[np.minimum(n, reach + 1)])).sum()
+    return float((seen - 1) / (rows - 1))
 
 
 def _distances(shares: np.ndarray) -> np.ndarray:
@@ -177,6 +192,27 @@ def _expected_place(place: pd.Series, n: pd.Series, load: pd.Series, number: pd.
     return pd.Series({k: np.median([m for j, m in middle.items() if j != k] or [middle[k]]) for k in middle})
 
 
+def _varieties(times: pd.DataFrame, loads: np.ndarray, rules: DepartureRules) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Loads, their shares of two kinds and their rows: for rows of dominating values and others, then for the variety
+    (without null and NaN) of 2, 8, 32 ... rows, each among the loads that have so many."""
+    each = {load: g for load, g in times.groupby("load")}
+    heavy, present = np.zeros(len(loads)), []
+    rows = np.array([(each[load]["n"] * each[load]["values"]).sum() if load in each else 0 for load in loads])
+    for k, load in enumerate(loads):
+        g = each.get(load, times[:0])
+        heavy[k] = (g["n"] * g["values"])[g["n"] >= rules.heavy * rows[k]].sum() / max(rows[k], 1)
+        g = g[~g["missing"].astype(bool)]
+        present.append((g["n"].to_numpy(np.int64), g["values"].to_numpy(np.int64)))
+    size = np.array([int((n * v).sum()) for n, v in present])
+    out, draw = [(loads, heavy, rows)], 2
+    while np.sum(size >= draw) >= rules.fewest:
+        enough = size >= draw
+        share = np.array([distinct_share(*p, draw) for p, ok in zip(present, enough) if ok])
+        out.append((loads[enough], share, size[enough]))
+        draw *= 4
+    return [(names, np.stack([share, 1 - share], axis=1), n) for names, share, n in out]
+
+
 def _departures(rules: DepartureRules, facets: list[str], column: str):
     per_load = {"period_id": 2.0, "ingested_at": 6.0}.get(column, 0.0)
 
@@ -184,24 +220,29 @@ def _departures(rules: DepartureRules, facets: list[str], column: str):
         loads = np.sort(feed["load"].unique())
         found: dict[str, float] = {}
         if len(loads) >= rules.fewest:
+            times = feed[feed["values"].notna()]
+            feed = feed[feed["values"].isna()].copy()
             total = feed.groupby("load")["n"].sum()
-            feed = feed.assign(heavy=(2.0 ** feed["often"] >= rules.heavy * feed["load"].map(total)).astype(float))
             if "place" in facets:
                 usual = _expected_place(feed["place"], feed["n"], feed["load"], feed["number"], per_load)
                 offset = (feed["place"] - feed["number"] * per_load - feed["load"].map(usual)) / per_load
                 # In loads: far before, about a year late, around its own time, ahead of time, far ahead.
                 feed["place"] = np.where(offset.isna(), np.nan, np.digitize(offset.fillna(0), [-4, -1.6, 1.6, 4]))
             edges = {loads[0], loads[-1]}
-            for facet in [*facets, "heavy"]:
+            tables = []
+            for facet in facets:
                 table = feed.assign(bin=feed[facet].fillna(-1000)).pivot_table(index="load", columns="bin", values="n", aggfunc="sum", fill_value=0).reindex(loads, fill_value=0)
                 shares = table.to_numpy(float) / np.maximum(table.to_numpy().sum(axis=1, keepdims=True), 1)
+                tables.append((facet == "place", loads, shares, total.reindex(loads).to_numpy()))
+            tables += [(column != "value", *t) for t in _varieties(times, loads, rules)]
+            for calendar, judged, shares, rows in tables:
                 distance = _distances(shares)
-                noise = np.sqrt(2 * shares * (1 - shares) / np.pi / np.maximum(total.reindex(loads).to_numpy()[:, None], 1)).sum(axis=1)
+                noise = np.sqrt(2 * shares * (1 - shares) / np.pi / np.maximum(rows[:, None], 1)).sum(axis=1)
                 centre = np.median(distance)
                 spread = 1.4826 * np.median(np.abs(distance - centre))
-                for k, load in enumerate(loads):
+                for k, load in enumerate(judged):
                     # The calendar alone lets the first and the last load hold few quarters or days.
-                    if load in edges and (facet == "place" or facet == "heavy" and column != "value"):
+                    if load in edges and calendar:
                         continue
                     if distance[k] > max(rules.least_share, centre + rules.beyond * spread) + noise[k]:
                         found[load] = max(found.get(load, 0.0), distance[k])
@@ -216,8 +257,10 @@ def departing_columns(counts: ValueCounts, rules: DepartureRules | None = None)
 
     Loads are named feed-number. Null loads and other names form no feed and never depart. Each facet of a column (null
     and NaN, notation, place on the load's calendar, size, sign, digits, decimals, time of day, precision, dominating
-    values) is compared by the share of rows that lie elsewhere than in the other loads. What a feed's task receives is
-    the table of facet combinations, bounded by loads times combinations whatever the rows.
+    values) is compared by the share of rows that lie elsewhere than in the other loads, and its variety by the share of
+    different values that equally many rows of each load are expected to hold. What a feed's task receives is the table
+    of facet combinations, bounded by loads times combinations whatever the rows, and how many values occur how often in
+    a load, at most the root of twice its rows.
     """
     rules, out = rules or DepartureRules(), None
     for c in counts.columns:

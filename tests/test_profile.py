@@ -3,7 +3,10 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
-from quarterline.operators.profile import ValueCounts, column_profiles, counted, departing_columns
+import numpy as np
+import pytest
+
+from quarterline.operators.profile import ValueCounts, column_profiles, counted, departing_columns, distinct_share
 from quarterline.sources import files
 
 
@@ -91,3 +94,40 @@ def test_what_is_usual_for_a_feed_and_odd_names(bronze):
 
     assert departing(bronze(feed(spoil=spoil))) == []
     assert departing(bronze([])) == [] and column_profiles(counted(bronze([]))).count() == 0
+
+
+@pytest.mark.parametrize("column, many", [(4, 60), (5, 60)])
+def test_loss_of_variety_below_the_dominating_share(bronze, column, many):
+    pool = [r[column] for r in feed() if r[6] == "f000-005"][:many]
+
+    def spoil(load, rng, r):
+        if load == 5:
+            r[column] = rng.choice(pool)
+
+    assert departing(bronze(feed(spoil=spoil))) == [("f000-005", "value" if column == 4 else "ingested_at")]
+
+
+@pytest.mark.parametrize("per", [400, 600])
+def test_dominating_values_are_judged_alike_at_any_size(bronze, per):
+    turn = iter(range(10**6))
+
+    def spoil(load, rng, r):
+        r[4] = float(100 + next(turn) % (15 if load == 5 else 40))
+
+    assert departing(bronze(feed(per=per, spoil=spoil))) == [("f000-005", "value")]
+
+
+def test_the_number_of_rows_is_no_loss_of_variety(bronze):
+    rng = random.Random(3)
+    rows = feed(per=200, spoil=lambda load, rng, r: r.__setitem__(4, float(rng.randrange(100, 400))))
+    more = [(*r[:4], float(rng.randrange(100, 400)), *r[5:]) for r in feed(per=4000) if r[6] == "f000-004"]
+    assert departing(bronze(rows + more)) == []
+
+
+def test_distinct_share_is_the_mean_over_all_draws():
+    from itertools import combinations
+
+    load = [1, 1, 1, 2, 2, 3, 4]
+    for rows in (2, 4, 7):
+        mean = np.mean([len(set(c)) for c in combinations(load, rows)])
+        assert math.isclose(distinct_share(np.array([1, 2, 3]), np.array([2, 1, 1]), rows), (mean - 1) / (rows - 1))
