@@ -20,6 +20,8 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 _RUNS = tuple(regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+"))
 _SPACE = regex.compile(r"\s*")
 _CONTRACTION = regex.compile(r"'(?:s|t|re|ve|m|ll|d)?\Z")
+#: An apostrophe, and what may yet become a contraction with it.
+_BEGUN = ("'r", "'v", "'l")
 
 CHUNK = 1 << 16
 #: Words of more bytes aren't remembered, and the memory is emptied when it holds so many.
@@ -198,8 +200,9 @@ class TextState:
         if self.open or not self.rest:
             return
         words, at = self.encoder._words, 0
+        begun = len(self.rest) - 2 if self.rest.endswith(_BEGUN) else -1
         for m in self.pattern.finditer(self.rest):
-            if m.end() == len(self.rest) or self.rest[m.start() : m.end()].isspace() and m.end() + 1 >= len(self.rest):
+            if m.start() == begun or m.end() == len(self.rest) or self.rest[m.start() : m.end()].isspace() and m.end() + 1 >= len(self.rest):
                 break
             yield words[m[0]]
             at = m.end()

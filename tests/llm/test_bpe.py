@@ -51,6 +51,24 @@ def test_stream_with_a_small_buffer(encoder, reference, text, size):
     assert ids(streamed) == reference(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet="'revl ", max_size=60), size=st.sampled_from([1, 2, 3, 5, 17]))
+def test_stream_with_contractions(encoder, text, size):
+    before, bpe.CHUNK = bpe.CHUNK, size
+    try:
+        streamed = b"".join(encoder.stream(text[i : i + size] for i in range(0, len(text), size)))
+    finally:
+        bpe.CHUNK = before
+    assert ids(streamed) == ids(b"".join(map(encoder._words.__getitem__, encoder._find(text))))
+
+
+@pytest.mark.parametrize("contraction", ["'re", "'ve", "'ll"])
+def test_a_contraction_across_a_chunk(encoder, contraction):
+    text = "x " * (bpe.CHUNK // 2 - 3) + "they" + contraction + " late"
+    assert text[bpe.CHUNK - 2 : bpe.CHUNK] == contraction[:2]
+    assert ids(encoder.encode(text)) == ids(b"".join(map(encoder._words.__getitem__, encoder._find(text))))
+
+
 @settings(max_examples=40, deadline=None)
 @given(word=st.text(alphabet="aeinrst", min_size=1500, max_size=6000))
 def test_words_beyond_the_window(encoder, reference, word):
