@@ -1,8 +1,8 @@
 """Aggregates per quarter by event time that late rows correct up to a cut-off, and the rows that were late.
 
 Event time is the quarter, arrival is ingested_at; lateness is the arrival minus the first instant after the quarter.
-An arrival sees a tree of quarters with two fingers: before the left one the tree is cut off and refuses the row (too
-late), between the fingers the row corrects a quarter that was closed (late).
+Whether a row is late or too late is a comparison of dates: a constant list says per day of arrival how many quarters
+are closed. Trees answer which rows were overtaken, and hold the aggregates.
 """
 
 from __future__ import annotations
