@@ -151,17 +151,20 @@ def _differs_from_previous(x: np.ndarray) -> np.ndarray:
 
 
 def stuck_runs(candidates: np.ndarray, x: np.ndarray, rules: ChartRules) -> np.ndarray:
+    """stuck_values of (values, series, periods), what was reported in each period, NaN where nothing was."""
+    flat = candidates.reshape(len(candidates), -1)
+    return stuck_values(np.nonzero(~np.isnan(flat))[1], flat[~np.isnan(flat)], x, rules)
+
+
+def stuck_values(cell: np.ndarray, value: np.ndarray, x: np.ndarray, rules: ChartRules) -> np.ndarray:
     """The value that stands still at each series and period, NaN where none does.
 
-    candidates: (values, series, periods), what was reported in each period; x: the representative value. A run goes on
-    while any candidate of the next reported period has its value. Runs count only in a series that has few of them and
-    outside of them differs from its previous value in at least the share `moving` of the reported periods.
+    value: everything that was reported in each cell (series times periods plus period); x: the representative value. A
+    run goes on while any value of the next reported period is its own. Runs count only in a series that has few of
+    them and outside of them differs from its previous value in at least the share `moving` of the reported periods.
     """
-    k, n, t = candidates.shape
+    n, t = x.shape
     ordinal = np.where(np.isnan(x), -1, np.cumsum(~np.isnan(x), axis=1))
-    flat = candidates.reshape(k, -1)
-    _, cell = np.nonzero(~np.isnan(flat))
-    value = flat[~np.isnan(flat)]
     entry = np.unique(np.rec.fromarrays([cell // t, value, ordinal.reshape(-1)[cell], cell], names="s,v,o,c"))
     still = np.full(n * t, np.nan)
     if len(entry):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.expr import is_finite
 from quarterline.functions.text import QUARTERS, identifier, readable_quarter_index
-from quarterline.operators.control_chart import ChartRules, judge_spikes, representative, stuck_runs
+from quarterline.operators.control_chart import ChartRules, judge_spikes, representative, stuck_values
 from quarterline.operators.whole_groups import group_numbers, whole_groups
 
 _SERIES = ("company", "metric")
@@ -21,13 +21,23 @@ _CANDIDATES = ("least", "most", "first", "last")
 
 def _charted(rules: ChartRules):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for nodes in whole_groups(batches, _SERIES):
+        for entries in whole_groups(batches, _SERIES):
+            # One row per value; a quarter's rows follow one another, so its candidates are found by segments.
+            starts = np.flatnonzero(group_numbers(entries, _NODE) != np.append(-1, group_numbers(entries, _NODE)[:-1]))
+            value, first, last = (entries[c].to_numpy() for c in ("value", "first", "last"))
+            node = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(entries))))
+            nodes = entries.iloc[starts][list(_NODE)].reset_index(drop=True)
+            nodes["least"], nodes["most"] = np.minimum.reduceat(value, starts), np.maximum.reduceat(value, starts)
+            for c, row, best in (("first", first, np.minimum), ("last", last, np.maximum)):
+                chosen, here = nodes["least"].to_numpy(copy=True), row == best.reduceat(row, starts)[node]
+                chosen[node[here]] = value[here]
+                nodes[c] = chosen
             series, quarter = group_numbers(nodes, _SERIES), nodes["quarter"].to_numpy()
             values = np.full((len(_CANDIDATES), int(series[-1]) + 1, QUARTERS), np.nan)
             for k, c in enumerate(_CANDIDATES):
                 values[k, series, quarter] = nodes[c].to_numpy()
             x = representative(values)
-            judged, still = judge_spikes(x, rules), stuck_runs(values, x, rules)
+            judged, still = judge_spikes(x, rules), stuck_values((series * QUARTERS + quarter)[node], value, x, rules)
             low, high, stuck = (m[series, quarter] for m in (judged.low, judged.high, still))
             bad = (nodes["least"].to_numpy() < low) | (nodes["most"].to_numpy() > high) | ~np.isnan(stuck)
             yield nodes.loc[bad, list(_NODE)].assign(low=low[bad], high=high[bad], stuck=pd.array(stuck[bad], dtype="Float64"))
@@ -66,19 +76,16 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     whatever notation. Null and NaN values are never implausible; an unknown metric has no limits; a series with too
     few values is not charted.
 
-    A series' rows are reduced map-side to four candidate values per quarter, so neither copies nor a hot series reach
-    one task in numbers. Charts return only quarters that hold an implausible value, and those are joined to the rows.
+    A series' rows are reduced map-side to the different values of each quarter, so copies don't reach one task in
+    numbers. Runs are sought in all of them; a quarter's chart has the least, the most, the first and the last to choose from. Charts return only quarters that hold an implausible value, and those are joined to the rows.
     """
     rules = rules or ChartRules()
     rows, limits = _rows(bronze), _limits(catalog)
     beyond = beyond_limits(bronze, catalog)
     charted = rows.where(is_finite(F.col("value")) & F.expr(" AND ".join(f"{k} IS NOT NULL" for k in _NODE)))
     nodes = (
-        charted.groupBy(*_NODE)
-        .agg(
-            F.min("value").alias("least"), F.max("value").alias("most"),
-            F.min_by("value", "row_id").alias("first"), F.max_by("value", "row_id").alias("last"),
-        )
+        charted.groupBy(*_NODE, "value")
+        .agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"))
         .repartition(*_SERIES)
         .sortWithinPartitions(*_NODE)
         .mapInPandas(_charted(rules), "company string, metric string, quarter int, low double, high double, stuck double")

@@ -102,3 +102,12 @@ def test_charts_of_a_batch_are_independent():
     for k in range(5):
         assert np.array_equal(together.low[k], alone[k].low[0]) and np.array_equal(together.high[k], alone[k].high[0])
     assert stuck_runs(x[None], x, rules).shape == x.shape and len(judge_spikes(x[:0], rules).low) == 0
+
+
+def test_a_run_goes_on_through_a_quarter_with_many_values(bronze, catalog):
+    values = wave(seed=7)
+    values[10:16] = [950.0] * 6
+    rows = series(values)
+    around = [("o", "C", "money", name(12), v, None) for v in (940.0, 960.0, 945.0)]
+    rows = around[:2] + rows + [around[2], ("o", "C", "money", name(12), 955.0, None)]
+    assert flagged(bronze, catalog, rows) == [k + 1 for k, r in enumerate(rows) if r[4] == 950.0]
