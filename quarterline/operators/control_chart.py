@@ -22,8 +22,8 @@ class ChartRules:
     values that a spike may last. stuck: successive reported values that make a run. moving: share of successive values
     that must differ in a series whose runs are suspicious; uncertainty: part of the usual deviation
     of a long series that is its prediction's; frequent: share of the other values from which a
-    run's value is none; least_changes, most_runs: changes
-    that such a series must and long runs that it may have. fewest: reported values that a series needs to be judged. weight: of
+    run's value is none; least_changes: changes
+    that such a series must have; few_runs: long runs that it may have though they fill most of it. fewest: reported values that a series needs to be judged. weight: of
     a new value in the mean. clip: departure in scales beyond which a value counts no further; twice that is out of
     control. gate: departure from either prediction alone. least_usual: usual deviation of a proportional series that
     hardly varies, as a share of its level."""
@@ -40,7 +40,7 @@ class ChartRules:
     uncertainty: float = 0.13
     frequent: float = 0.1
     least_changes: int = 3
-    most_runs: int = 2
+    few_runs: int = 2
 
 
 def _median(x: np.ndarray, axis: int = 1) -> np.ndarray:
@@ -160,8 +160,8 @@ def stuck_values(cell: np.ndarray, value: np.ndarray, x: np.ndarray, rules: Char
     """The value that stands still at each series and period, NaN where none does.
 
     value: everything that was reported in each cell (series times periods plus period); x: the representative value. A
-    run goes on while any value of the next reported period is its own. Runs count only in a series that has few of
-    them and outside of them differs from its previous value in at least the share `moving` of the reported periods.
+    run goes on while any value of the next reported period is its own. Runs count, more than a few only if they fill
+    less than half of it, in a series that outside of them differs from its previous value in at least the share `moving` of the reported periods.
     """
     n, t = x.shape
     ordinal = np.where(np.isnan(x), -1, np.cumsum(~np.isnan(x), axis=1))
@@ -181,7 +181,10 @@ def stuck_values(cell: np.ndarray, value: np.ndarray, x: np.ndarray, rules: Char
     usual = elsewhere > rules.frequent * outside[some].sum(axis=1, keepdims=True)
     still[some] = np.where(usual, np.nan, still[some])
     begins = ~np.isnan(still) & (still != _last_reported(still))
-    moving = (changes >= np.maximum(rules.moving * np.sum(outside, axis=1), rules.least_changes)) & (np.sum(begins, axis=1) <= rules.most_runs)
+    apart = np.sum(outside, axis=1)
+    moving = changes >= np.maximum(rules.moving * apart, rules.least_changes)
+    # More runs than a few are an exception only in a series that mostly moves; others stand still by nature.
+    moving &= (np.sum(begins, axis=1) <= rules.few_runs) | (2 * apart >= np.sum(~np.isnan(x), axis=1))
     return np.where(moving[:, None], still, np.nan)
 
 

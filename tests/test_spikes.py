@@ -111,3 +111,10 @@ def test_a_run_goes_on_through_a_quarter_with_many_values(bronze, catalog):
     around = [("o", "C", "money", name(12), v, None) for v in (940.0, 960.0, 945.0)]
     rows = around[:2] + rows + [around[2], ("o", "C", "money", name(12), 955.0, None)]
     assert flagged(bronze, catalog, rows) == [k + 1 for k, r in enumerate(rows) if r[4] == 950.0]
+
+
+def test_any_number_of_runs_in_a_series_that_otherwise_changes(bronze, catalog):
+    values = wave(40, seed=7)
+    for k, begin in enumerate((3, 15, 28)):
+        values[begin : begin + 6] = [950.0 + k] * 6
+    assert flagged(bronze, catalog, series(values)) == [b + k + 1 for b in (3, 15, 28) for k in range(6)]
