@@ -13,18 +13,9 @@ from pyspark.sql import functions as F
 
 from quarterline.llm.boundaries import Model, count_text, sentences
 
-#: Documents from which the tagger is trained at most; how often words occur there is all it knows.
-TRAINING_DOCUMENTS = 5_000
-#: Of the words counted there, so many of the most frequent ones reach the driver at most.
-TRAINING_WORDS = 1_000_000
-_PARTS = 1_000_000
-
-
-def train(documents: DataFrame, most: int = TRAINING_DOCUMENTS) -> Model:
-    """Counts of a sample chosen by hash of doc_id; what reaches the driver is bounded by the sample's words."""
-    total = documents.count()
-    part = min(_PARTS, _PARTS * most // max(total, 1) + 1)
-    sample = documents.where(F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)), F.lit(0)) < part).select("text")
+def train(documents: DataFrame) -> Model:
+    """Counts over all documents and of every key, added up before they reach the driver; that many keys must fit there
+    and on each executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -34,9 +25,8 @@ def train(documents: DataFrame, most: int = TRAINING_DOCUMENTS) -> Model:
         keys = [json.dumps(k) for k in counts]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["key", "n"])
 
-    rows = sample.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = rows.orderBy(F.desc("n"), "key").limit(TRAINING_WORDS).collect()
-    return Model(Counter({tuple(json.loads(r["key"])): r["n"] for r in rows}))
+    rows = documents.select("text").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return Model(Counter({tuple(json.loads(r["key"])): r["n"] for r in rows.toLocalIterator()}))
 
 
 def sentence_spans(documents: DataFrame, model: Model | None = None) -> DataFrame:

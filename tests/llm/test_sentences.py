@@ -137,3 +137,12 @@ def test_paragraph_ends_are_predicted_without_their_breaks(spark):
         hit += sum(b in ends for b in breaks)
         total += len(breaks)
     assert total > 1000 and hit / total > 0.99
+
+
+def test_training_counts_every_document(spark):
+    texts = [f"The value rose by {k} % in w{k}. Then it fell.\n\nNothing else." for k in range(6_000)]
+    counts = Counter()
+    for text in texts:
+        count_text(text, counts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert train(df).next == Model(counts).next
