@@ -20,7 +20,8 @@ from quarterline.schema import require_columns
 from quarterline.sources import files
 
 MARKER = "quarterline.snapshot"
-_VIEW = "must be a persisted full snapshot table"
+# Fixed value: what deletes may be derived from.
+_SNAPSHOT = "persisted full snapshot table"
 
 
 @dataclass(frozen=True)
@@ -33,8 +34,15 @@ class Commit:
     final_rows: int
 
 
-def _details(spark: SparkSession, name: str) -> dict[str, str]:
-    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+def _details(spark: SparkSession, name: str, or_none: bool = False) -> dict[str, str] | None:
+    """What the catalog says of a relation; None, if asked for, where it can't be looked up."""
+    try:
+        rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name}).collect()
+    except Exception:
+        if or_none:
+            return None
+        raise
+    return {r["col_name"]: r["data_type"] for r in rows}
 
 
 def _location(spark: SparkSession, name: str) -> str:
@@ -42,21 +50,17 @@ def _location(spark: SparkSession, name: str) -> str:
 
 
 def guard_snapshot_table(spark: SparkSession, name: str, what: str) -> None:
-    """ValueError unless the name is a table that this store manages; fails closed."""
-    try:
-        table = spark.catalog.getTable(name)
-        kind = (table.tableType or "").upper()
-        if table.isTemporary or "VIEW" in kind:
-            raise ValueError(f"{what} {_VIEW}; views are not supported")
-        if kind not in ("MANAGED", "EXTERNAL"):
-            raise ValueError(f"{what} {_VIEW}; relation type {kind or '<unknown>'} is not supported")
-        marked = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    except ValueError:
-        raise
-    except Exception as error:
-        raise ValueError(f"{what} cannot be validated: it {_VIEW}") from error
-    if MARKER not in marked:
-        raise ValueError(f"{what} {_VIEW} of this engine, got provider {_details(spark, name).get('Provider', '<unknown>')}")
+    """ValueError unless the name is a table that this store manages; fails closed.
+
+    Only tables that the store made carry its marker, so that is the one question; the answer for anything else says
+    what was found instead.
+    """
+    found = _details(spark, name, or_none=True)
+    if found is None:
+        raise ValueError(f"{what}: {name} can't be looked up, so it isn't known to be a {_SNAPSHOT}")
+    if f"{MARKER}=" not in found.get("Table Properties", ""):
+        what_it_is = found.get("Type") or "temporary view"
+        raise ValueError(f"{what}: {name} is no {_SNAPSHOT} of this store but a {what_it_is.lower()} ({found.get('Provider', 'no provider')})")
 
 
 def read_table(spark: SparkSession, name: str, required, what: str) -> DataFrame:
@@ -104,7 +108,7 @@ def _create(spark: SparkSession, name: str, source: DataFrame) -> Commit:
     rows = _rows(spark, f"{root}/v00000001", source.schema)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{root}/v00000001' TBLPROPERTIES ('{MARKER}' = '1')"
+        f"CREATE TABLE IDENTIFIER(:name) ({columns}) USING parquet LOCATION '{root}/v00000001' TBLPROPERTIES ('{MARKER}' = '1')", args={"name": name}
     )
     commit = Commit(1, "CREATE", rows, 0, 0, rows)
     _log(spark, root, commit)
@@ -134,7 +138,7 @@ def synchronize(spark: SparkSession, name: str, source: DataFrame, keys, materia
     if _location(spark, name) != before:
         files.delete(spark, new)
         raise RuntimeError(f"{name} was changed by another writer")
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{new}'", args={"name": name})
     spark.catalog.refreshTable(name)
     commit = Commit(old + 1, "SYNC" if delete_missing else "UPSERT", final_rows=_rows(spark, new, target.schema), **counts)
     _log(spark, root, commit)
