@@ -1,12 +1,15 @@
 """Aggregates per quarter by event time that late rows correct up to a cut-off, and the rows that were late.
 
 Event time is the quarter, arrival is ingested_at; lateness is the arrival minus the first instant after the quarter.
-Whether a row is late or too late is a comparison of dates: a constant list says per day of arrival how many quarters
-are closed. Trees answer which rows were overtaken, and hold the aggregates.
+Finger B-trees decide. One over all quarters takes the arrivals in their order and evicts a quarter when an arrival
+says that its cut-off has passed: what it refuses was too late, what it takes behind its finger of open quarters was a
+correction. One per series holds the earliest arrival of each quarter and answers which rows were overtaken. One takes
+the loads in their order and holds the aggregates.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import date
 
@@ -17,8 +20,10 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.expr import is_finite
 from quarterline.functions.text import FIRST_YEAR, QUARTERS, identifier, quarter_index
-from quarterline.operators.finger_tree import COUNT, MIN_STAMP, TOTAL, FingerForest, finger_by_day
+from quarterline.functions.exact import as_double, in_common, scale_of, units_of
+from quarterline.operators.finger_tree import COUNT, EARLIEST, PAIR, FingerTree
 from quarterline.operators.whole_groups import group_numbers, whole_groups
+from quarterline.sources import files
 
 LATE_DAYS, CUT_OFF_DAYS = 45, 200
 _DAY = 86_400_000_000
@@ -33,19 +38,13 @@ def _day(year: int, month: int) -> int:
 
 #: Day after each quarter.
 _ENDS = [_day(FIRST_YEAR + q // 4, 3 * (q % 4) + 1) for q in range(1, QUARTERS + 1)]
-#: A row that arrives on the very instant a quarter closes is still in time, so a day begins one tick late.
-_FIRST_DAY, _LAST_DAY = _day(int(FIRST_STAMP[:4]), 1) - 1, _day(int(END_STAMP[:4]), 1)
-
-
-def _finger(allowed: int) -> Column:
-    """Quarters that are closed for a row by its arrival: a constant list with one entry a day, looked up once."""
-    closed = finger_by_day(_ENDS, allowed, _FIRST_DAY, _LAST_DAY)
-    table = F.split(F.lit(",".join(map(str, closed))), ",").cast("array<int>")
-    return F.get(table, (F.expr(f"(arrived - 1) div {_DAY}") - _FIRST_DAY).cast("int"))
 
 
 def participants(bronze: DataFrame) -> DataFrame:
-    """row_id, company, metric (null where blank), quarter, arrived in microseconds, value, batch_id.
+    """row_id, company, metric (null where blank), quarter, arrived in microseconds, day, value, batch_id.
+
+    A quarter closes on the first instant of a day, and what arrives on that very instant is still in time; so a day
+    is counted from one tick after its first instant to the first instant of the next.
 
     Rows whose quarter can't be read or whose stamp is missing or impossible are left out.
     """
@@ -56,102 +55,146 @@ def participants(bronze: DataFrame) -> DataFrame:
         "row_id", "batch_id", "value", identifier(F.col("company_id")).alias("company"),
         identifier(F.col("metric_id")).alias("metric"), quarter_index(F.col("period_id")).alias("quarter"), arrived.alias("arrived"),
     )
-    return rows.where("quarter IS NOT NULL")
+    return rows.where("quarter IS NOT NULL").withColumn("day", F.expr(f"CAST((arrived - 1) DIV {_DAY} AS INT)"))
+
+
+def _standing(cells: pd.DataFrame) -> pd.DataFrame:
+    """quarter, day and kind of the arrivals that were late or too late.
+
+    The tree takes the arrivals day by day. Each day moves its watermark: quarters whose cut-off has passed are evicted
+    in bulk, and rows of these are refused from then on. Of those it takes, rows behind the first quarter that is still
+    awaited correct what was reported already.
+    """
+    tree, out = FingerTree(COUNT), []
+    for day, rows in cells.groupby("day", sort=True):
+        tree.cut(bisect_right(_ENDS, int(day) - CUT_OFF_DAYS))
+        awaited = bisect_right(_ENDS, int(day) - LATE_DAYS)
+        for quarter, n in zip(rows["quarter"].tolist(), rows["n"].tolist(), strict=True):
+            if not tree.insert(quarter, n):
+                out.append((quarter, day, "too_late"))
+            elif quarter < awaited:
+                out.append((quarter, day, "late"))
+    return pd.DataFrame(out, columns=["quarter", "day", "kind"])
+
+
+def standing(rows: DataFrame) -> DataFrame:
+    """quarter, day and kind (late or too_late) of participants.
+
+    The one task gets a count per quarter and day, at most 40 times some 4,400 whatever the rows; so much is the bound
+    of the result, too.
+    """
+    cells = rows.groupBy("quarter", "day").agg(F.count("*").alias("n")).withColumn("all", F.lit(0))
+    return cells.groupBy("all").applyInPandas(_standing, "quarter int, day int, kind string")
 
 
 def _overtaken_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per series and quarter: the earliest arrival of any later quarter, where some row of the node came after it.
 
-    Input is clustered by series and has one row per node.
+    Input is clustered by series and has one row per node. Each series has a tree, which takes the quarters as they
+    first arrived.
     """
     for batch in whole_groups(batches, _SERIES):
-        tree = group_numbers(batch, _SERIES)
-        time, first = batch["quarter"].to_numpy(), batch["first"].to_numpy()
-        forest = FingerForest(int(tree[-1]) + 1, QUARTERS, MIN_STAMP)
-        forest.insert(tree, time, first)
-        overtaker = forest.after(tree, time)
-        hit = overtaker < batch["last"].to_numpy()
-        yield batch.loc[hit, ["company", "metric", "quarter"]].assign(overtaker=overtaker[hit])
+        series = group_numbers(batch, _SERIES)
+        quarter, first, last = (batch[c].to_numpy() for c in ("quarter", "first", "last"))
+        order = np.lexsort((first, series))
+        begins = np.flatnonzero(np.diff(series[order], prepend=-1))
+        times, arrivals = quarter[order].tolist(), first[order].tolist()
+        overtaker = np.full((int(series[-1]) + 1, QUARTERS), EARLIEST.identity, np.uint64)
+        for tree, (a, b) in enumerate(zip(begins.tolist(), [*begins[1:].tolist(), len(order)], strict=True)):
+            if b - a > 1:
+                seen = FingerTree(EARLIEST)
+                for k in range(a, b):
+                    seen.insert(times[k], arrivals[k])
+                for time, earliest in seen.later():
+                    overtaker[tree, time] = earliest
+        before = overtaker[series, quarter]
+        hit = before < last.astype(np.uint64)
+        yield batch.loc[hit, ["company", "metric", "quarter"]].assign(overtaker=before[hit].astype(np.int64))
 
 
 def late_rows(bronze: DataFrame) -> DataFrame:
     """row_id and kind: late, too_late, overtaken; a row may have two kinds, each delivered row is judged by itself.
 
-    Arrivals are first reduced per series and quarter, map-side, so a hot series sends few rows; the trees hold the
-    earliest arrival per quarter, and only nodes with an overtaken row come back to be joined with the rows.
+    Arrivals are first reduced map-side, per series and quarter and per quarter and day, so a hot series sends few rows
+    to the trees. What they answer meets the rows in one pass: standing per quarter and day, bounded and broadcast, and
+    the series' quarters with an overtaken row, written first so that Spark knows their size and broadcasts them only
+    if it is small.
     """
     rows = participants(bronze)
-    refused = F.when(F.col("quarter") < _finger(CUT_OFF_DAYS), "too_late").otherwise("late")
-    by_cut_off = rows.where(F.col("quarter") < _finger(LATE_DAYS)).select("row_id", refused.alias("kind"))
-    keyed = rows.where("company IS NOT NULL AND metric IS NOT NULL").select("row_id", "company", "metric", "quarter", "arrived")
     nodes = (
-        keyed.groupBy("company", "metric", "quarter")
+        rows.where("company IS NOT NULL AND metric IS NOT NULL")
+        .groupBy("company", "metric", "quarter")
         .agg(F.min("arrived").alias("first"), F.max("arrived").alias("last"))
         .repartition("company", "metric")
         .sortWithinPartitions("company", "metric", "quarter")
         .mapInPandas(_overtaken_nodes, "company string, metric string, quarter int, overtaker long")
     )
-    overtaken = keyed.join(nodes, ["company", "metric", "quarter"]).where("overtaker < arrived")
-    return by_cut_off.union(overtaken.select("row_id", F.lit("overtaken")))
+    judged = rows.select("row_id", "company", "metric", "quarter", "day", "arrived")
+    judged = judged.join(F.broadcast(standing(rows)), ["quarter", "day"], "left")
+    judged = judged.join(files.kept(nodes, "overtaken"), ["company", "metric", "quarter"], "left")
+    kinds = F.array_compact(F.array("kind", F.when(F.col("overtaker") < F.col("arrived"), F.lit("overtaken"))))
+    return judged.select("row_id", F.explode(kinds).alias("kind"))
+
+
+def _watermark(high: np.ndarray, n: np.ndarray) -> int:
+    """The day by which nearly all of a load's rows had arrived; a few stamps far ahead don't move it."""
+    order = np.argsort(high, kind="stable")
+    return int(high[order][np.searchsorted(n[order].cumsum(), 0.95 * n.sum())])
 
 
 def _replay(deltas: pd.DataFrame) -> pd.DataFrame:
-    """As of each load, count and sum of every quarter, from one tree per aggregate.
+    """As of each load, count and sum of every quarter.
 
-    Once no arrival that is still to come can reach a quarter, it is final, and the trees evict it with all before it.
+    The tree takes load after load and knows nothing of those to come. The arrivals seen so far move its watermark, and
+    quarters whose cut-off that has passed are evicted: their aggregates are closed and leave the tree. A row in time by
+    its own arrival that a later load brings for a closed quarter corrects the closed aggregate.
     """
-    counts, sums = FingerForest(1, QUARTERS, COUNT), FingerForest(1, QUARTERS, TOTAL)
-    corrected, final_n, final_sum = np.zeros(QUARTERS, np.int64), np.zeros(QUARTERS, np.int64), np.zeros(QUARTERS, object)
-    loads = [(load, rows) for load, rows in deltas.groupby("load_number", sort=True)]
-    to_come = np.minimum.accumulate([rows["earliest"].min() for _, rows in loads][::-1])[::-1]
-    closed, out, tree = finger_by_day(_ENDS, CUT_OFF_DAYS, _FIRST_DAY, _LAST_DAY), [], np.zeros(QUARTERS, int)
-    for k, (load, rows) in enumerate(loads):
-        time = rows["quarter"].to_numpy()
-        counts.insert(tree[: len(rows)], time, rows["n"].to_numpy())
-        sums.insert(tree[: len(rows)], time, np.array([int(x) for x in rows["total"]], object))
-        np.add.at(corrected, time, rows["late"].to_numpy())
-        left, every = counts.left, np.arange(QUARTERS)
-        live = every >= left
-        n = np.where(live, counts.at(tree, every), final_n)
-        total = np.where(live, sums.at(tree, every), final_sum)
-        later = counts.after(tree, np.maximum(every, left))
-        # Evicted quarters: what follows them is all that lives, and the evicted ones after them.
-        evicted_after = final_n[:left][::-1].cumsum()[::-1] - final_n[:left]
-        later[:left] = evicted_after + counts.total()[0]
-        out += [(int(load), int(q), int(n[q]), str(total[q]), int(corrected[q]), int(later[q])) for q in np.flatnonzero(n)]
-        if k + 1 < len(loads):
-            cut = closed[(int(to_come[k + 1]) - 1) // _DAY - _FIRST_DAY]
-            gone = slice(left, max(cut, left))
-            final_n[gone], final_sum[gone] = n[gone], total[gone]
-            counts.cut(cut)
-            sums.cut(cut)
+    tree, closed, corrected, out, seen = FingerTree(PAIR), {}, [0] * QUARTERS, [], None
+    for load, rows in deltas.groupby("load_number", sort=True):
+        parts = zip(*(rows[c].tolist() for c in ("quarter", "scale", "n", "total", "late")), strict=True)
+        for quarter, scale, n, total, late in parts:
+            part = (n, in_common(int(total), scale))
+            if not tree.insert(quarter, part):
+                closed[quarter] = PAIR.plus(closed.get(quarter, PAIR.identity), part)
+            corrected[quarter] += late
+        live, later = dict(tree.items()), dict(tree.later())
+        following = tree.total()[0]
+        for quarter in sorted(closed, reverse=True):
+            live[quarter], later[quarter] = closed[quarter], (following, 0)
+            following += closed[quarter][0]
+        out += [(load, q, n, as_double(total), corrected[q], later[q][0]) for q, (n, total) in sorted(live.items())]
+        high = _watermark(rows["high"].to_numpy(), rows["n"].to_numpy())
+        seen = high if seen is None else max(seen, high)
+        closed |= dict(tree.cut(bisect_right(_ENDS, seen - CUT_OFF_DAYS)))
     return pd.DataFrame(out, columns=["load_number", "quarter", "n", "total", "late", "later"])
 
 
 def period_aggregates(bronze: DataFrame) -> DataFrame:
-    """Per load number and quarter: value_count, value_sum (finite values, four decimals, exact), late_count (how many
-    of them were corrections) and later_count (values of later quarters seen so far), as of that load.
+    """Per load number and quarter: value_count, value_sum (of finite values: the double nearest to the exact sum,
+    infinite beyond the largest), late_count (how many of them were corrections) and later_count (values of later
+    quarters seen so far), as of that load.
 
-    Loads of all feeds with the same number form one step. Rows beyond the cut-off are left out. What reaches the
-    single replaying task are sums per load number and quarter, a table bounded by loads times quarters whatever the
-    rows.
+    Loads of all feeds with the same number form one step; rows without a load take no part. Rows that the tree of
+    arrivals refuses are left out. What reaches the single replaying task are sums per load number, quarter and scale
+    of the values, a table bounded by loads times quarters whatever the rows.
     """
     number = F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int")
-    taken = participants(bronze).where((F.col("quarter") >= _finger(CUT_OFF_DAYS)) & is_finite(F.col("value")))
-    scaled = F.col("value").cast("decimal(30,4)") * 10_000
+    rows = participants(bronze)
+    taken = rows.where(is_finite(F.col("value"))).join(F.broadcast(standing(rows)), ["quarter", "day"], "left")
     deltas = (
-        taken.withColumn("load_number", number)
+        taken.where("kind IS DISTINCT FROM 'too_late'")
+        .withColumn("load_number", number)
         .where("load_number IS NOT NULL")
-        .groupBy("load_number", "quarter")
+        .withColumn("scale", scale_of(F.col("value")))
+        .groupBy("load_number", "quarter", "scale")
         .agg(
-            F.count("*").alias("n"), F.sum(scaled.cast("decimal(28,0)")).cast("string").alias("total"),
-            F.count_if(F.col("quarter") < _finger(LATE_DAYS)).alias("late"), F.min("arrived").alias("earliest"),
+            F.count("*").alias("n"), F.sum(units_of(F.col("value"), F.col("scale"))).cast("string").alias("total"),
+            F.count_if(F.col("kind") == "late").alias("late"), F.percentile_approx("day", 0.95).alias("high"),
         )
     )
-    steps = deltas.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_replay, "load_number int, quarter int, n long, total string, late long, later long")
+    steps = deltas.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_replay, "load_number int, quarter int, n long, total double, late long, later long")
     period = F.concat((F.lit(FIRST_YEAR) + F.floor(F.col("quarter") / 4)).cast("string"), F.lit("Q"), (F.col("quarter") % 4 + 1).cast("string"))
     return steps.select(
-        "load_number", period.alias("period_id"), F.col("n").alias("value_count"),
-        (F.col("total").cast("decimal(38,0)") / F.lit(10_000)).cast("double").alias("value_sum"),
+        "load_number", period.alias("period_id"), F.col("n").alias("value_count"), F.col("total").alias("value_sum"),
         F.col("late").alias("late_count"), F.col("later").alias("later_count"),
     )

@@ -1,46 +1,76 @@
-import numpy as np
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quarterline.operators.finger_tree import COUNT, MIN_STAMP, TOTAL, FingerForest
+from quarterline.operators.finger_tree import COUNT, EARLIEST, PAIR, FingerTree
+
+TIMES = st.integers(0, 120)
+STEPS = st.lists(st.one_of(st.tuples(st.just("insert"), TIMES, st.integers(-50, 50)), st.tuples(st.just("cut"), TIMES, st.none())), max_size=200)
+FOLD = {id(COUNT): sum, id(EARLIEST): lambda v: min(v, default=EARLIEST.identity), id(PAIR): lambda v: (sum(a for a, _ in v), sum(b for _, b in v))}
+
 
-INSERTS = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 39), st.integers(-50, 50)), max_size=60)
-FOLD = {id(COUNT): sum, id(TOTAL): sum, id(MIN_STAMP): lambda v: min(v, default=MIN_STAMP.identity)}
+def check_shape(tree):
+    """Totals, keys, parents and fingers agree with what is below."""
+    depths = set()
 
+    def walk(node, depth):
+        assert len(node.keys) == len(node.items) <= tree.most and node.keys == sorted(node.keys)
+        assert node.total == tree._sum(node)
+        if node.leaf:
+            depths.add(depth)
+            return [node]
+        leaves = []
+        for key, child in zip(node.keys, node.items, strict=True):
+            assert child.parent is node and child.keys[0] == key
+            leaves += walk(child, depth + 1)
+        return leaves
 
-@pytest.mark.parametrize("monoid", [COUNT, MIN_STAMP, TOTAL])
-@settings(max_examples=60, deadline=None)
-@given(first=INSERTS, cut=st.integers(0, 45), second=INSERTS, times=st.sampled_from([1, 7, 16, 40]))
-def test_agrees_with_lists(monoid, first, cut, second, times):
-    forest, kept = FingerForest(3, times, monoid), []
+    leaves = walk(tree.root, 0)
+    assert tree.root.parent is None and len(depths) == 1
+    assert tree.left is leaves[0] and tree.right is leaves[-1]
+
+
+@pytest.mark.parametrize("monoid", [COUNT, EARLIEST, PAIR])
+@settings(max_examples=80, deadline=None)
+@given(steps=STEPS, most=st.sampled_from([4, 5, 8]))
+def test_agrees_with_lists(monoid, steps, most):
+    tree, kept, cut_off = FingerTree(monoid, most), [], None
     fold = FOLD[id(monoid)]
+    for kind, time, value in steps:
+        if kind == "insert":
+            v = (value, 1) if monoid is PAIR else value
+            assert tree.insert(time, v) == (cut_off is None or time >= cut_off)
+            if cut_off is None or time >= cut_off:
+                kept.append((time, v))
+        else:
+            gone = {k for k, _ in tree.cut(time)}
+            assert gone == {k for k, _ in kept if k < time}
+            cut_off = max(time, cut_off if cut_off is not None else time)
+            kept = [x for x in kept if x[0] >= cut_off]
+        check_shape(tree)
+        assert tree.total() == fold([v for _, v in kept])
+    for time in range(-1, 122):
+        assert tree.at(time) == fold([v for k, v in kept if k == time])
+        assert tree.after(time) == fold([v for k, v in kept if k > time])
+    assert dict(tree.later()) == {t: fold([v for k, v in kept if k > t]) for t in {k for k, _ in kept}}
+    inserted = [t for kind, t, _ in steps if kind == "insert"]
+    assert tree.newest == (max(inserted) if inserted else None)
+
 
-    def insert(rows, left):
-        rows = [(t, k % times, v) for t, k, v in rows]
-        a = [np.array(x, int) for x in zip(*rows, strict=True)] or [np.zeros(0, int)] * 3
-        taken = forest.insert(a[0], a[1], a[2].astype(monoid.dtype))
-        assert taken.tolist() == [k >= left for _, k, _ in rows]
-        kept.extend(r for r in rows if r[1] >= left)
-
-    def check(left):
-        for tree in range(3):
-            mine = [(k, v) for t, k, v in kept if t == tree and k >= left]
-            assert forest.total()[tree] == fold([v for _, v in mine])
-            for time in range(left, times):
-                at, who = np.array([time]), np.array([tree])
-                assert forest.after(who, at)[0] == fold([v for k, v in mine if k > time])
-                assert forest.at(who, at)[0] == fold([v for k, v in mine if k == time])
-
-    insert(first, 0)
-    check(0)
-    forest.cut(min(cut, times))
-    check(min(cut, times))
-    insert(second, min(cut, times))
-    check(min(cut, times))
-
-
-def test_an_insert_touches_one_node_a_level():
-    forest = FingerForest(1, 40, COUNT)
-    forest.insert(np.zeros(1, int), np.array([17]), np.array([5]))
-    assert [int((level != 0).sum()) for level in forest.levels] == [1] * len(forest.levels) and len(forest.levels) == 4
+def test_height_grows_with_the_logarithm_and_evicted_nodes_are_gone():
+    rng, tree = random.Random(2), FingerTree(COUNT)
+    for time in rng.sample(range(20_000), 10_000):
+        tree.insert(time, 1)
+    height, node = 1, tree.root
+    while not node.leaf:
+        height, node = height + 1, node.items[0]
+    assert height <= 7  # at least 4 entries a node
+    assert len(tree.cut(19_000)) == 10_000 - tree.total()
+    left, stack = 0, [tree.root]
+    while stack:
+        node = stack.pop()
+        left += 1
+        stack += [] if node.leaf else node.items
+    assert left < tree.total() / 2
