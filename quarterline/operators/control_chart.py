@@ -20,11 +20,10 @@ SEASON = 4
 class ChartRules:
     """limit: departure from the prediction in usual deviations that is out of control. longest: successive reported
     values that a spike may last. stuck: successive reported values that make a run. moving: share of successive values
-    that must differ in a series whose runs are suspicious; uncertainty: part of the usual deviation
-    of a long series that is its prediction's; frequent: share of the other values from which a
+    that must differ in a series whose runs are suspicious; frequent: share of the other values from which a
     run's value is none; least_changes: changes
     that such a series must have; few_runs: long runs that it may have though they fill most of it. fewest: reported values that a series needs to be judged. weight: of
-    a new value in the mean. clip: departure in scales beyond which a value counts no further; twice that is out of
+    a new value in the mean; memory: weight of the old scale in the new one. clip: departure in scales beyond which a value counts no further; twice that is out of
     control. gate: departure from either prediction alone. least_usual: usual deviation of a proportional series that
     hardly varies, as a share of its level."""
 
@@ -34,10 +33,10 @@ class ChartRules:
     moving: float = 0.8
     fewest: int = 8
     weight: float = 0.3
+    memory: float = 0.95
     clip: float = 2.5
     gate: float = 4.0
     least_usual: float = 0.005
-    uncertainty: float = 0.13
     frequent: float = 0.1
     least_changes: int = 3
     few_runs: int = 2
@@ -62,10 +61,11 @@ def _neighbour_level(x: np.ndarray, reach: int) -> np.ndarray:
     return _median(windows.reshape(n * t, -1)).reshape(n, t)
 
 
-def seasonal_profile(x: np.ndarray) -> np.ndarray:
+def seasonal_profile(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Usual difference of each value's season from the level around it, from the other years only, so that a value
-    doesn't explain itself; zero where a season was hardly ever reported."""
+    doesn't explain itself; zero where a season was hardly ever reported. And how many years each was taken from."""
     n, t = x.shape
+    years_used = np.zeros((n, t))
     difference = x - _neighbour_level(x, SEASON)
     profile, centre = np.zeros((n, t)), np.zeros(n)
     for s in range(SEASON):
@@ -76,12 +76,15 @@ def seasonal_profile(x: np.ndarray) -> np.ndarray:
         for y in range(years):
             others = own.copy()
             others[:, y] = np.nan
-            profile[:, s + SEASON * y] = np.where(seen - ~np.isnan(own[:, y]) >= 2, _median(others), 0.0)
-    return np.where(np.isnan(profile), 0.0, profile) - centre[:, None]
+            there = seen - ~np.isnan(own[:, y])
+            profile[:, s + SEASON * y] = np.where(there >= 2, _median(others), 0.0)
+            years_used[:, s + SEASON * y] = np.where(there >= 2, there, 0)
+    return np.where(np.isnan(profile), 0.0, profile) - centre[:, None], years_used
 
 
-def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarray:
-    """What the values before it lead one to expect at each period; NaN before the first one.
+def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> tuple[np.ndarray, np.ndarray]:
+    """What the values before it lead one to expect at each period, NaN before the first one; and the chart's scale
+    there.
 
     Values of a departure that lasted too long for a spike are expected at its own mean, the first of them included.
     """
@@ -90,13 +93,13 @@ def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarr
     spread = scale.copy()
     out_for = np.zeros(n, int)  # length of the current run out of control, signed
     outside = np.full(n, np.nan)  # mean of that run
-    expected = np.full((n, t), np.nan)
+    expected, scales = np.full((n, t), np.nan), np.zeros((n, t))
     recent = np.full((n, rules.longest + 1), -1)  # periods of the current run, newest first
     every = np.arange(n)
     for k in range(t):
         value, known = x[:, k], ~np.isnan(x[:, k])
         fresh = known & np.isnan(mean)
-        expected[:, k] = mean
+        expected[:, k], scales[:, k] = mean, spread
         residual = np.where(known & ~fresh, value - mean, 0.0)
         bound = rules.clip * spread
         side = np.where(known & (np.abs(residual) > 2 * bound), np.sign(residual), 0).astype(int)
@@ -111,9 +114,9 @@ def predictions(x: np.ndarray, scale: np.ndarray, rules: ChartRules) -> np.ndarr
         step = np.where(side != 0, 0.0, rules.weight * clipped)
         mean = np.where(fresh, value, np.where(adopt, outside, np.where(known, mean + step, mean)))
         calm = known & ~fresh & (side == 0)
-        spread = np.where(calm, np.maximum(0.95 * spread + 0.05 * 1.25 * np.abs(clipped), 0.5 * scale), spread)
+        spread = np.where(calm, np.maximum(rules.memory * spread + (1 - rules.memory) * 1.25 * np.abs(clipped), 0.5 * scale), spread)
         out_for = np.where(adopt, 0, out_for)
-    return expected
+    return expected, scales
 
 
 @dataclass
@@ -126,15 +129,26 @@ class Judged:
     score: np.ndarray
 
 
-def _both_ways(y: np.ndarray, rules: ChartRules) -> tuple[np.ndarray, np.ndarray]:
-    """The lower and the upper of the predictions from before and from after; NaN where either is missing."""
-    profile = seasonal_profile(y)
+def prediction_variance(years: np.ndarray, rules: ChartRules) -> np.ndarray:
+    """Variance of a period's prediction in units of the values' own, which what is left over contains besides theirs.
+
+    An exponentially weighted mean of weight w has w / (2 - w), the middle of two independent ones half of that; a
+    season that is the median of so many other years adds pi / 2 over their number.
+    """
+    w = rules.weight
+    return w / (2 - w) / 2 + np.where(years > 0, np.pi / 2 / np.maximum(years, 1), 0.0)
+
+
+def _both_ways(y: np.ndarray, rules: ChartRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lower and the upper of the predictions from before and from after, NaN where either is missing; and the
+    variance of such a prediction."""
+    profile, years = seasonal_profile(y)
     flat = y - profile
     scale = 1.4826 * _median(np.abs(flat - _neighbour_level(flat, 2)))
     start = np.where(scale > 0, 1.3 * scale, np.inf)
-    ahead = predictions(flat, start, rules)
-    back = predictions(flat[:, ::-1], start, rules)[:, ::-1]
-    return np.minimum(ahead, back) + profile, np.maximum(ahead, back) + profile
+    ahead, _ = predictions(flat, start, rules)
+    back = predictions(flat[:, ::-1], start, rules)[0][:, ::-1]
+    return np.minimum(ahead, back) + profile, np.maximum(ahead, back) + profile, prediction_variance(years, rules)
 
 
 def _last_reported(x: np.ndarray) -> np.ndarray:
@@ -214,7 +228,7 @@ def judge_spikes(x: np.ndarray, rules: ChartRules) -> Judged:
         steady = (np.sum(size <= 0, axis=1) <= 0.15 * reported) & (centre != 0)
         floor = 0.01 * np.abs(centre)[:, None]
         y = np.where(steady[:, None], np.log(np.where(np.isnan(size), np.nan, np.maximum(size, floor))), x)
-        least, most = _both_ways(y, rules)
+        least, most, uncertain = _both_ways(y, rules)
         least, most = (np.where(steady[:, None], np.exp(e), e) for e in (least, most))
         middle, z = (least + most) / 2, np.where(steady[:, None], size, x)
         unit = np.where(steady[:, None], middle, 1.0)
@@ -222,8 +236,7 @@ def judge_spikes(x: np.ndarray, rules: ChartRules) -> Judged:
         moved = _differs_from_previous(x)
         usual = 1.4826 * _median(np.where(moved, away, np.nan))
         usual = np.where(np.sum(moved, axis=1) >= rules.fewest, usual, 1.4826 * _median(away))
-        # What is left contains the uncertainty of season and prediction, which long series show to be so much.
-        usual /= 1 + rules.uncertainty * np.clip((reported - 16) / 12, 0, 1)
+        usual /= np.sqrt(1 + _median(np.where(np.isnan(x), np.nan, uncertain)))
         usual = np.where(steady, np.fmax(usual, rules.least_usual), usual)
         usual = np.where((usual > 0) & (reported >= rules.fewest), usual, np.nan)[:, None] * unit
         # Out of control for both charts, and that far from what both together lead one to expect.

@@ -13,6 +13,7 @@ from quarterline.functions.expr import is_finite
 from quarterline.functions.text import QUARTERS, identifier, readable_quarter_index
 from quarterline.operators.control_chart import ChartRules, judge_spikes, representative, stuck_values
 from quarterline.operators.whole_groups import group_numbers, whole_groups
+from quarterline.sources import files
 
 _SERIES = ("company", "metric")
 _NODE = (*_SERIES, "quarter")
@@ -77,11 +78,12 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     few values is not charted.
 
     A series' rows are reduced map-side to the different values of each quarter, so copies don't reach one task in
-    numbers. Runs are sought in all of them; a quarter's chart has the least, the most, the first and the last to choose from. Charts return only quarters that hold an implausible value, and those are joined to the rows.
+    numbers. Runs are sought in all of them; a quarter's chart has the least, the most, the first and the last to choose
+    from. Charts return only quarters that hold an implausible value; those are written first, so that Spark knows their
+    size and broadcasts them only if it is small, and then meet the rows in one pass together with the limits.
     """
     rules = rules or ChartRules()
-    rows, limits = _rows(bronze), _limits(catalog)
-    beyond = beyond_limits(bronze, catalog)
+    rows = _rows(bronze)
     charted = rows.where(is_finite(F.col("value")) & F.expr(" AND ".join(f"{k} IS NOT NULL" for k in _NODE)))
     nodes = (
         charted.groupBy(*_NODE, "value")
@@ -91,6 +93,6 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
         .mapInPandas(_charted(rules), "company string, metric string, quarter int, low double, high double, stuck double")
     )
     value = F.col("value")
-    out = (value < F.col("low")) | (value > F.col("high")) | F.coalesce(value == F.col("stuck"), F.lit(False))
-    judged = charted.join(nodes, list(_NODE)).where(out).join(limits, "code", "left").where(~_impossible()).select("row_id")
-    return beyond.union(judged)
+    out = (value < F.col("low")) | (value > F.col("high")) | (value == F.col("stuck"))
+    judged = rows.join(_limits(catalog), "code", "left").join(files.kept(nodes, "charts"), list(_NODE), "left")
+    return judged.where(_impossible() | F.coalesce(out, F.lit(False))).select("row_id")

@@ -118,3 +118,31 @@ def test_any_number_of_runs_in_a_series_that_otherwise_changes(bronze, catalog):
     for k, begin in enumerate((3, 15, 28)):
         values[begin : begin + 6] = [950.0 + k] * 6
     assert flagged(bronze, catalog, series(values)) == [b + k + 1 for b in (3, 15, 28) for k in range(6)]
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+@pytest.mark.parametrize("n", [28, 40])
+def test_limits_lie_eight_true_deviations_away(seed, n):
+    """Simulated series of known deviation: what is left over from the predictions contains theirs, which is taken off."""
+    rules, rng = ChartRules(), np.random.default_rng(seed)
+    x = np.exp(rng.uniform(5, 9, (800, 1)) + rng.uniform(-0.01, 0.03, (800, 1)) * np.arange(n) + 0.03 * rng.standard_normal((800, n)))
+    judged = judge_spikes(x, rules)
+    there = np.isfinite(judged.high)
+    low, high = judged.low[there], judged.high[there]
+    assert there.mean() > 0.9 and 0.93 < np.mean((high - low) / (high + low)) / rules.limit / 0.03 < 1.12
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_planted_slips_are_found_and_little_else(seed):
+    rules, rng, n = ChartRules(), np.random.default_rng(seed), 40
+    season = 0.05 * rng.standard_normal((600, 4))[:, np.arange(n) % 4]
+    x = np.exp(rng.uniform(5, 9, (600, 1)) + season + 0.03 * rng.standard_normal((600, n)))
+    at = rng.integers(2, n - 2, 600)
+    every = np.arange(600)
+    planted = rng.random(600) < 0.5
+    x[every, at] *= np.where(planted, np.where(rng.random(600) < 0.5, 1.6, 0.5), 1)
+    judged = judge_spikes(x, rules)
+    hit = (x < judged.low) | (x > judged.high)
+    assert hit[every, at][planted].mean() > 0.9
+    hit[every[planted], at[planted]] = False
+    assert hit.mean() < 0.002
