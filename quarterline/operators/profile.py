@@ -1,15 +1,19 @@
 """Column profiles per load from maintained value-count tables, and the loads whose columns depart from their feed.
 
 The value-count table of a column says how often each value occurs in each load. It is persistent and changes only by
-signed deltas: +1 per row of a load that arrives, -1 per row of one that is withdrawn. Profiles (nulls, distinct
+signed deltas, one for each load: +1 per row of a load that arrives, -1 per row of one that is withdrawn. Profiles (nulls, distinct
 values, range, violations, entropy) are exact aggregates of the maintained counts, so no load is read again.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,46 +30,108 @@ _DAY = 86_400_000_000
 
 
 class ValueCounts:
-    """Counts of (load, value) per column under one folder; every change is a delta, committed by a small file."""
+    """Counts of (load, value) per column under one folder.
+
+    Every change is a signed delta: a folder of its own, written first, and then a commit, a small file with the next
+    free number, that makes it count in all columns at once. Deltas add up in any order, so a writer that finds its
+    number taken by another takes the next one. compact() folds what is committed into a base; deltas committed
+    meanwhile stay beside it.
+    """
 
     def __init__(self, spark: SparkSession, root: str, load: str = "batch_id", columns: Sequence[str] = COLUMNS) -> None:
         self.spark, self.root, self.load, self.columns = spark, root.rstrip("/"), load, columns
-
-    def _commits(self) -> list[str]:
-        return [n for n in files.names(self.spark, f"{self.root}/commits") if n.endswith(".json")]
+        self._known: dict[str, dict] = {}
+
+    def _commits(self) -> list[dict]:
+        """What was committed, in order; commits never change, so each is read once."""
+        names = [n for n in files.names(self.spark, f"{self.root}/commits") if n.endswith(".json")]
+        for n in names:
+            if n not in self._known:
+                self._known[n] = json.loads(files.read_text(self.spark, f"{self.root}/commits/{n}"))
+        return [self._known[n] for n in names]
+
+    def _commit(self, **what) -> None:
+        number = max((int(n[:8]) for n in self._known), default=-1) + 1
+        while not files.write_text(self.spark, f"{self.root}/commits/{number:08d}.json", json.dumps(what)):
+            number += 1
+        self._known[f"{number:08d}.json"] = what
+
+    def _counts(self, rows: DataFrame, column: str) -> DataFrame:
+        """load, key, n; reduced map-side before the exchange."""
+        value = F.col(column).cast(_KIND.get(column, dict(rows.dtypes)[column]))
+        return rows.select(F.col(self.load).alias("load"), value.alias("key")).groupBy("load", "key").agg(F.count("*").alias("n"))
 
     def apply(self, rows: DataFrame, sign: int = 1) -> None:
-        """Add (or with -1 withdraw) rows. Each column's counts are reduced map-side before their exchange."""
-        number = len(self._commits())
+        """Add (or with -1 withdraw) any rows, as one delta."""
+        delta = f"{self.root}/delta-{uuid.uuid4().hex}"
+        for c in self.columns:
+            self._counts(rows, c).write.parquet(f"{delta}/{c}/all")
+        self._commit(sign=sign, delta=delta, part="all")
+
+    def apply_loads(self, rows: DataFrame) -> None:
+        """Add every load of the rows as a delta of its own, committed one after the other by number and name.
+
+        One pass per column writes the deltas of all loads; a load far larger than others is written by several tasks.
+        """
+        # One row per load.
+        loads = sorted((r["load"] for r in rows.select(F.col(self.load).alias("load")).distinct().collect()), key=_by_number)
+        if not loads:
+            return
+        delta, places = f"{self.root}/delta-{uuid.uuid4().hex}", {load: k for k, load in enumerate(loads)}
+        named = F.create_map(*(F.lit(x) for load, k in places.items() if load is not None for x in (load, k)), F.lit("\0"), F.lit(-1))
+        slot = F.coalesce(F.try_element_at(named, F.col("load")), F.lit(places.get(None, -1)))
         for c in self.columns:
-            value = F.col(c).cast(_KIND.get(c, dict(rows.dtypes)[c]))
-            delta = rows.select(F.col(self.load).alias("load"), value.alias("key")).groupBy("load", "key").agg((F.count("*") * sign).alias("n"))
-            delta.write.mode("overwrite").parquet(f"{self.root}/{c}/delta-{number:08d}")
-        files.write_text(self.spark, f"{self.root}/commits/{number:08d}.json", json.dumps({"sign": sign}))
+            self._counts(rows, c).withColumn("slot", slot).hint("rebalance", "slot").write.partitionBy("slot").parquet(f"{delta}/{c}")
+        for load, k in places.items():
+            self._commit(sign=1, delta=delta, part=f"slot={k}", load=load)
+
+    def withdraw(self, load: str | None) -> None:
+        """Take back a load: its deltas count once more, with the opposite sign."""
+        applied: Counter = Counter()
+        for c in self._commits():
+            if "load" in c and c["load"] == load:
+                applied[c["delta"], c["part"]] += c["sign"]
+        for (delta, part), sign in applied.items():
+            if sign:
+                self._commit(sign=-sign, delta=delta, part=part, load=load)
 
     def compact(self) -> None:
-        """Fold all deltas into one."""
-        names = self._commits()
+        """Fold all committed deltas into a new base."""
+        upto, base = len(self._commits()), f"{self.root}/base-{uuid.uuid4().hex}"
         for c in self.columns:
-            self.read(c).write.mode("overwrite").parquet(f"{self.root}/{c}/delta-{len(names):08d}")
-        files.write_text(self.spark, f"{self.root}/commits/{len(names):08d}.json", json.dumps({"base": len(names)}))
+            self._read(c, upto).write.parquet(f"{base}/{c}")
+        self._commit(base=base, upto=upto)
 
     def read(self, column: str) -> DataFrame:
         """load, key, n with n other than 0."""
-        names = self._commits()
-        bases = [b for n in names if (b := json.loads(files.read_text(self.spark, f"{self.root}/commits/{n}")).get("base")) is not None]
-        live = range(bases[-1] if bases else 0, len(names))
-        if not live:
+        return self._read(column, len(self._commits()))
+
+    def _read(self, column: str, upto: int) -> DataFrame:
+        commits = self._commits()[:upto]
+        bases = [c for c in commits if "base" in c]
+        folded = bases[-1]["upto"] if bases else 0
+        paths: dict[int, list[str]] = {1: [f"{bases[-1]['base']}/{column}"] if bases else [], -1: []}
+        for c in commits[folded:]:
+            if "delta" in c:
+                paths[c["sign"]].append(f"{c['delta']}/{column}/{c['part']}")
+        if not any(paths.values()):
             return self.spark.createDataFrame([], f"load string, key {_KIND.get(column, 'string')}, n long")
-        deltas = self.spark.read.parquet(*(f"{self.root}/{column}/delta-{k:08d}" for k in live))
-        if len(live) == 1:
-            return deltas
-        return deltas.groupBy("load", "key").agg(F.sum("n").alias("n")).where("n <> 0")
+        parts = [self.spark.read.parquet(*p).select("load", "key", (F.col("n") * sign).alias("n")) for sign, p in paths.items() if p]
+        if bases and len(paths[1]) == 1 and not paths[-1]:
+            return parts[0]
+        return reduce(DataFrame.union, parts).groupBy("load", "key").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def _by_number(load: str | None) -> tuple[int, str]:
+    number = re.search(r"-([0-9]+)\Z", load or "")
+    return int(number[1]) if number else -1, load or ""
 
 
 def counted(bronze: DataFrame) -> ValueCounts:
+    """A new store to which every load was applied as a delta, folded once."""
     counts = ValueCounts(bronze.sparkSession, files.scratch(bronze.sparkSession, "counts"))
-    counts.apply(bronze)
+    counts.apply_loads(bronze)
+    counts.compact()
     return counts
 
 
@@ -172,6 +238,16 @@ def distinct_share(n: np.ndarray, values: np.ndarray, rows: int) -> float:
     return float((seen - 1) / (rows - 1))
 
 
+def evenness(n: np.ndarray, values: np.ndarray) -> float:
+    """Entropy of a load's values over the most that so many different values can have; 1 for a single one. It falls
+    when a few values take over, and unlike the entropy itself it hardly depends on the number of rows."""
+    total, distinct = float((n * values).sum()), float(values.sum())
+    if distinct < 2:
+        return 1.0
+    bits = np.log2(total) - (n * values * np.log2(n)).sum() / total
+    return float(np.clip(bits / np.log2(distinct), 0.0, 1.0))
+
+
 def _distances(shares: np.ndarray) -> np.ndarray:
     """Half the absolute difference of each load's distribution from the median distribution of the others."""
     out = np.zeros(len(shares))
@@ -192,9 +268,10 @@ def _expected_place(place: pd.Series, n: pd.Series, load: pd.Series, number: pd.
     return pd.Series({k: np.median([m for j, m in middle.items() if j != k] or [middle[k]]) for k in middle})
 
 
-def _varieties(times: pd.DataFrame, loads: np.ndarray, rules: DepartureRules) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Loads, their shares of two kinds and their rows: for rows of dominating values and others, then for the variety
-    (without null and NaN) of 2, 8, 32 ... rows, each among the loads that have so many."""
+def _varieties(times: pd.DataFrame, loads: np.ndarray, rules: DepartureRules, calendar: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Loads, their shares of two kinds and their rows: for rows of dominating values and others, then (without null and
+    NaN) for the evenness of values that don't follow the calendar, and for the variety of 2, 8, 32 ... rows, each among the loads that have so
+    many."""
     each = {load: g for load, g in times.groupby("load")}
     heavy, present = np.zeros(len(loads)), []
     rows = np.array([(each[load]["n"] * each[load]["values"]).sum() if load in each else 0 for load in loads])
@@ -205,6 +282,9 @@ def _varieties(times: pd.DataFrame, loads: np.ndarray, rules: DepartureRules) ->
         present.append((g["n"].to_numpy(np.int64), g["values"].to_numpy(np.int64)))
     size = np.array([int((n * v).sum()) for n, v in present])
     out, draw = [(loads, heavy, rows)], 2
+    several = size >= 2
+    if not calendar and several.sum() >= rules.fewest:
+        out.append((loads[several], np.array([evenness(*p) for p, ok in zip(present, several) if ok]), size[several]))
     while np.sum(size >= draw) >= rules.fewest:
         enough = size >= draw
         share = np.array([distinct_share(*p, draw) for p, ok in zip(present, enough) if ok])
@@ -234,10 +314,10 @@ def _departures(rules: DepartureRules, facets: list[str], column: str):
                 table = feed.assign(bin=feed[facet].fillna(-1000)).pivot_table(index="load", columns="bin", values="n", aggfunc="sum", fill_value=0).reindex(loads, fill_value=0)
                 shares = table.to_numpy(float) / np.maximum(table.to_numpy().sum(axis=1, keepdims=True), 1)
                 tables.append((facet == "place", loads, shares, total.reindex(loads).to_numpy()))
-            tables += [(column != "value", *t) for t in _varieties(times, loads, rules)]
+            tables += [(column != "value", *t) for t in _varieties(times, loads, rules, column != "value")]
             for calendar, judged, shares, rows in tables:
                 distance = _distances(shares)
-                noise = np.sqrt(2 * shares * (1 - shares) / np.pi / np.maximum(rows[:, None], 1)).sum(axis=1)
+                noise = np.sqrt(2 * shares * np.maximum(1 - shares, 0) / np.pi / np.maximum(rows[:, None], 1)).sum(axis=1)
                 centre = np.median(distance)
                 spread = 1.4826 * np.median(np.abs(distance - centre))
                 for k, load in enumerate(judged):

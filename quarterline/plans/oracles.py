@@ -206,6 +206,7 @@ ORACLES = {
     "lineitem_gold": _mart(_valid(_LINES), hashed=False),
     "events_gold": _mart(_valid(_EVENTS), hashed=False),
     "p1_profile": _P1_PROFILE,
+    "p1_maintained": _P1_PROFILE,
     "p2_found": _P2,
     "p3_limits": f"""SELECT row_id FROM slice4_bronze b LEFT JOIN metric_catalog c
         ON split_part({_space_trimmed('b.metric_id')}, '@', 1) = c.metric_code

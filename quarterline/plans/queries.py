@@ -177,6 +177,20 @@ def p1_profile(spark, at):
     return profile.column_profiles(profile.counted(_bronze(spark, at)))
 
 
+def p1_maintained(spark, at):
+    """The profiles after the store saw more than arrivals: the newest loads of all feeds are withdrawn, what is left is
+    folded, and they are delivered again."""
+    rows = _bronze(spark, at)
+    counts = profile.counted(rows)
+    newest = rows.agg(F.max(F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int"))).first()[0]
+    late = rows.where(F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int") == newest)
+    for r in late.select("batch_id").distinct().collect():
+        counts.withdraw(r["batch_id"])
+    counts.compact()
+    counts.apply_loads(late)
+    return profile.column_profiles(counts)
+
+
 def p2_found(spark, at):
     return snapshot_diff.snapshot_changes(table(spark, at, "slice4_snapshots"))
 
@@ -214,6 +228,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p1_maintained, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
     )
 }

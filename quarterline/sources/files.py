@@ -7,7 +7,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,9 +42,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=1)
+def _hadoop(context: SparkContext):
+    """The class of paths and the configuration; finding them anew each time would cost several calls to the JVM."""
+    return context._jvm.org.apache.hadoop.fs.Path, context._jsc.hadoopConfiguration()
+
+
 def _path(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    cls, configuration = _hadoop(spark.sparkContext)
+    hadoop = cls(path)
+    return hadoop, hadoop.getFileSystem(configuration)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

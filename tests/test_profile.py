@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 
-from quarterline.operators.profile import ValueCounts, column_profiles, counted, departing_columns, distinct_share
+from quarterline.operators.profile import ValueCounts, column_profiles, counted, departing_columns, distinct_share, evenness
 from quarterline.sources import files
 
 
@@ -42,6 +42,48 @@ def test_signed_deltas(spark, bronze):
     assert {k[0] for k in profiles(counts)} == {"f-002"}
 
 
+def test_loads_are_deltas_of_their_own(spark, bronze):
+    rows = bronze([("o", None, None, "2023Q1", float(k % 3), None, load) for k, load in enumerate(["f-002", "f-010", None, "odd", "f-002", "g-001"])])
+    counts = ValueCounts(spark, files.scratch(spark, "counts"))
+    counts.apply_loads(rows)
+    once = sorted(map(tuple, column_profiles(counts).collect()), key=str)
+    assert [c["load"] for c in counts._commits()] == [None, "odd", "g-001", "f-002", "f-010"]
+    counts.withdraw("f-002")
+    counts.withdraw(None)
+    counts.withdraw(None)  # nothing is left to take back
+    assert {r["batch_id"] for r in column_profiles(counts).collect()} == {"odd", "g-001", "f-010"}
+    counts.compact()
+    counts.withdraw("odd")
+    assert {r["batch_id"] for r in column_profiles(counts).collect()} == {"g-001", "f-010"}
+    for load in ("f-002", None, "odd"):
+        counts.apply_loads(rows.where("batch_id = 'f-002'" if load == "f-002" else "batch_id IS NULL" if load is None else "batch_id = 'odd'"))
+    assert sorted(map(tuple, column_profiles(counts).collect()), key=str) == once
+    # Another reader of the same folder, after a fold, sees the same.
+    counts.compact()
+    assert sorted(map(tuple, column_profiles(ValueCounts(spark, counts.root)).collect()), key=str) == once
+
+
+def test_racing_writers_lose_nothing(spark, bronze):
+    root = files.scratch(spark, "counts")
+    one, other = ValueCounts(spark, root), ValueCounts(spark, root)
+    a, b = (bronze([("o", None, None, "2023Q1", 1.0, None, load)] * 2) for load in ("f-001", "f-002"))
+    one.apply_loads(a)
+    upto = len(one._commits())
+    other.apply_loads(b)  # between what a fold has read and its commit
+    base = f"{root}/base-late"
+    for c in one.columns:
+        one._read(c, upto).write.parquet(f"{base}/{c}")
+    one._commit(base=base, upto=upto)
+    assert {(r["batch_id"], r["row_count"]) for r in column_profiles(other).collect()} == {("f-001", 2), ("f-002", 2)}
+
+
+def test_evenness():
+    one, eight = np.array([1]), np.array([8])
+    assert evenness(one, eight) == evenness(eight, one) == evenness(eight, eight) == 1.0
+    shares = np.array([5, 1, 1, 1]) / 8
+    assert math.isclose(evenness(np.array([5, 1]), np.array([1, 3])), -(shares * np.log2(shares)).sum() / 2)
+
+
 def feed(loads=8, per=400, spoil=None):
     rng, rows = random.Random(1), []
     for load in range(1, loads + 1):
