@@ -11,11 +11,13 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import regex
 
 # Fixed value: the pattern that splits text before the merges of the rank files.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_WORDS = regex.compile(WORD_PATTERN)
 #: How a word of a class goes on, by its last character.
 _RUNS = tuple(regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+"))
 _SPACE = regex.compile(r"\s*")
@@ -33,38 +35,39 @@ def parse_ranks(file: bytes) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in (line.split() for line in file.splitlines() if line)}
 
 
-def _merge(parts: list[bytes], ranks: dict[bytes, int], below: int) -> list[bytes]:
-    """Join neighbours in order of rank while one of a rank under `below` is possible."""
-    while len(parts) > 1:
-        best, at = below, -1
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1], below)
-            if rank < best:
-                best, at = rank, i
-        if at < 0:
-            break
-        joined = parts[at] + parts[at + 1]
-        out, i, n = [], 0, len(parts)
-        while i < n:
-            if i + 1 < n and parts[i] + parts[i + 1] == joined:
-                out.append(joined)
-                i += 2
-            else:
-                out.append(parts[i])
-                i += 1
-        parts = out
-    return parts
-
-
-def _singles(data: bytes) -> list[bytes]:
-    return [data[i : i + 1] for i in range(len(data))]
+def _merge(data: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
+    """Tokens of a word: neighbours joined in order of rank, equal ones from the left, while one of a rank under `below`
+    is possible. A heap holds the possible joins over linked parts, so a word of n bytes costs n log n."""
+    n = len(data)
+    if n < 2:
+        return [data] if n else []
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := ranks.get(data[i : i + 2], below)) < below]
+    heapify(heap)
+    alive = bytearray(b"\1") * n
+    while heap:
+        rank, i = heappop(heap)
+        if not alive[i] or (j := end[i]) == n or ranks.get(data[i : (k := end[j])], below) != rank:
+            continue  # one of the two was joined with another part meanwhile
+        alive[j], end[i] = 0, k
+        if k < n:
+            before[k] = i
+            if (r := ranks.get(data[i : end[k]], below)) < below:
+                heappush(heap, (r, i))
+        if (h := before[i]) >= 0 and (r := ranks.get(data[h:k], below)) < below:
+            heappush(heap, (r, h))
+    out, i = [], 0
+    while i < n:
+        out.append(data[i : end[i]])
+        i = end[i]
+    return out
 
 
 def merge_pairs(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
     """The two parts that each token of several bytes is merged from, lowest rank first."""
     pairs = {}
     for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
-        if len(token) > 1 and len(parts := _merge(_singles(token), ranks, rank)) == 2:
+        if len(token) > 1 and len(parts := _merge(token, ranks, rank)) == 2:
             pairs[token] = (parts[0], parts[1])
     return pairs
 
@@ -96,25 +99,19 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int], lookahead: int) -> None:
         self.ranks, self.lookahead = ranks, lookahead
-        self.window = max(4 * lookahead, 1024)
         self._none = max(ranks.values(), default=0) + 1
         self._words = _Remembered(self)
-        self._find = regex.compile(WORD_PATTERN).findall
 
     def word(self, data: bytes) -> bytes:
         """Ids of one word."""
-        if len(data) <= self.window:
-            return self._ids(_merge(_singles(data), self.ranks, self._none))
         state = WordState(self)
-        return b"".join((*map(state.feed, (data[i : i + self.window] for i in range(0, len(data), self.window))), state.finish()))
+        return state.feed(data) + state.finish()
 
     def _ids(self, parts: list[bytes]) -> bytes:
         return array("i", map(self.ranks.__getitem__, parts)).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text; long texts go through the stream."""
-        if len(text) <= CHUNK:
-            return b"".join(map(self._words.__getitem__, self._find(text)))
+        """Ids of a text."""
         return b"".join(self.stream(text[i : i + CHUNK] for i in range(0, len(text), CHUNK)))
 
     def stream(self, chunks: Iterable[str]) -> Iterator[bytes]:
@@ -150,29 +147,31 @@ class WordState:
 
     def feed(self, data: bytes) -> bytes:
         self.rest += data
-        e, done, at = self.encoder, [], 0
-        if len(self.rest) <= e.window:
+        return self._leave(len(self.rest) - self.encoder.lookahead)
+
+    def finish(self) -> bytes:
+        return self._leave(len(self.rest))
+
+    def _leave(self, stable: int) -> bytes:
+        """The ids of the tokens that end within so many bytes. They can be cut off on the left without changing those
+        that follow."""
+        if stable <= 0:
             return b""
-        for part in _merge(_singles(self.rest), e.ranks, e._none):
-            if at + len(part) + e.lookahead > len(self.rest):
+        e, done, at = self.encoder, [], 0
+        for part in _merge(self.rest, e.ranks, e._none):
+            if at + len(part) > stable:
                 break
             done.append(part)
             at += len(part)
-        # Whole tokens can be cut off on the left without changing those that follow.
         self.rest = self.rest[at:]
         return e._ids(done)
 
-    def finish(self) -> bytes:
-        e, rest = self.encoder, self.rest
-        self.rest = b""
-        return e._ids(_merge(_singles(rest), e.ranks, e._none))
-
 
 class TextState:
     """A text that arrives in chunks: words leave once the next one has begun, endless ones piece by piece."""
 
     def __init__(self, encoder: Transducer) -> None:
-        self.encoder, self.rest, self.pattern = encoder, "", regex.compile(WORD_PATTERN)
+        self.encoder, self.rest, self.pattern = encoder, "", _WORDS
         self.open: WordState | None = None
         self.run: regex.Pattern | None = None
 
@@ -199,14 +198,15 @@ class TextState:
             yield from self._go_on()
         if self.open or not self.rest:
             return
-        words, at = self.encoder._words, 0
-        begun = len(self.rest) - 2 if self.rest.endswith(_BEGUN) else -1
-        for m in self.pattern.finditer(self.rest):
-            if m.start() == begun or m.end() == len(self.rest) or self.rest[m.start() : m.end()].isspace() and m.end() + 1 >= len(self.rest):
-                break
-            yield words[m[0]]
-            at = m.end()
-        self.rest = self.rest[at:]
+        # The words make up the whole text. The last one may go on, and what a single further character may change
+        # before it waits, too: white space, or an apostrophe that may begin a contraction.
+        words = self.pattern.findall(self.rest)
+        wait = 1
+        if len(words) > 1 and len(words[-1]) == 1 and (words[-2].isspace() or words[-2] + words[-1] in _BEGUN):
+            wait = 2
+        whole = len(words) - wait
+        self.rest = "".join(words[whole:])
+        yield b"".join(map(self.encoder._words.__getitem__, words[:whole]))
         # What is left is one unfinished word, or white space before one.
         if len(self.rest) > CHUNK and not self.rest.isspace():
             last = self.rest[-1]
@@ -226,8 +226,7 @@ class TextState:
             yield self.open.feed(self.rest.encode())
             yield self.open.finish()
             self.open, self.run, self.rest = None, None, ""
-        for word in self.pattern.findall(self.rest):
-            yield self.encoder._words[word]
+        yield b"".join(map(self.encoder._words.__getitem__, self.pattern.findall(self.rest)))
         self.rest = ""
 
 

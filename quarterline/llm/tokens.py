@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarterline.llm.bpe import Transducer, decode_stream, merge_pairs, parse_ranks, sufficient_lookahead
 
@@ -95,9 +94,18 @@ def decoded(encoded: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:
-    """doc_id, n_tokens and whether decoding gives the text back (null counting as empty)."""
-    ids = token_ids(documents.select("doc_id", "text"), vocabularies)
-    back = decoded(ids, vocabularies).select("doc_id", F.col("text").alias("again"))
-    sizes = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"))
-    same = F.coalesce("text", F.lit("")) == F.col("again")
-    return documents.select("doc_id", "text").join(back, "doc_id").join(sizes, "doc_id").select("doc_id", "n_tokens", same.alias("same"))
+    """doc_id, n_tokens, the text decoded from its ids (empty for null), and whether that is the text. Encoded once and
+    decoded in the same pass, no shuffle."""
+    shared = _shared(documents, vocabularies)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared)
+        tokens = {i: t for t, i in encoder.ranks.items()}
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(encoder.encode(t), np.int32) for t in texts]
+            back = ["".join(decode_stream(x.tolist(), tokens)) for x in ids]
+            columns = [pa.array(map(len, ids), pa.int64()), pa.array(back, pa.string()), pa.array([a == b for a, b in zip(texts, back, strict=True)])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_tokens", "text", "same"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, text string, same boolean")

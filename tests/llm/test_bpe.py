@@ -2,6 +2,7 @@ import os
 from array import array
 
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -28,6 +29,11 @@ def ids(data):
     return list(array("i", data))
 
 
+def whole(encoder, text):
+    """Ids with every word known in full."""
+    return [i for w in regex.findall(bpe.WORD_PATTERN, text) for i in ids(encoder._ids(bpe._merge(w.encode(), encoder.ranks, encoder._none)))]
+
+
 ALPHABETS = ["ab '", "a1 \n\t.", "เก  ", "'s t'", "   x", "x", " \n　", "é́ö—", "日本語。", "!?. ", "<|endoftext|>"]
 TEXT = st.one_of(st.text(max_size=200), *(st.text(alphabet=a, max_size=300) for a in ALPHABETS))
 
@@ -59,19 +65,19 @@ def test_stream_with_contractions(encoder, text, size):
         streamed = b"".join(encoder.stream(text[i : i + size] for i in range(0, len(text), size)))
     finally:
         bpe.CHUNK = before
-    assert ids(streamed) == ids(b"".join(map(encoder._words.__getitem__, encoder._find(text))))
+    assert ids(streamed) == whole(encoder, text)
 
 
 @pytest.mark.parametrize("contraction", ["'re", "'ve", "'ll"])
 def test_a_contraction_across_a_chunk(encoder, contraction):
     text = "x " * (bpe.CHUNK // 2 - 3) + "they" + contraction + " late"
     assert text[bpe.CHUNK - 2 : bpe.CHUNK] == contraction[:2]
-    assert ids(encoder.encode(text)) == ids(b"".join(map(encoder._words.__getitem__, encoder._find(text))))
+    assert ids(encoder.encode(text)) == whole(encoder, text)
 
 
 @settings(max_examples=40, deadline=None)
 @given(word=st.text(alphabet="aeinrst", min_size=1500, max_size=6000))
-def test_words_beyond_the_window(encoder, reference, word):
+def test_words_beyond_the_lookahead(encoder, reference, word):
     assert ids(encoder.word(word.encode())) == reference(word)
 
 
@@ -82,7 +88,7 @@ def test_buffer_stays_small(encoder, reference):
         out += state.feed(chunk)
         most = max(most, len(state.rest) + (len(state.open.rest) if state.open else 0))
     out += state.finish()
-    assert most <= bpe.CHUNK + encoder.window + 2 * len(chunk)
+    assert most <= bpe.CHUNK + 2 * encoder.lookahead + 2 * len(chunk)
     assert ids(b"".join(out)) == reference(chunk * 60)
 
 
@@ -101,13 +107,15 @@ def test_lookahead_suffices_for_any_vocabulary(merges, word):
     made = [b"a", b"b", b"c"]
     for i, j in merges:
         token = made[i % len(made)] + made[j % len(made)]
-        if token not in ranks and len(bpe._merge(bpe._singles(token), ranks, 10**6)) == 2:
+        if token not in ranks and len(bpe._merge(token, ranks, 10**6)) == 2:
             ranks[token] = 256 + len(ranks)
             made.append(token)
     e = bpe.Transducer(ranks, bpe.sufficient_lookahead(bpe.merge_pairs(ranks)))
-    whole = ids(e._ids(bpe._merge(bpe._singles(word), ranks, 10**6)))
-    e.window = e.lookahead + 1
-    assert ids(e.word(word)) == whole
+    known = ids(e._ids(bpe._merge(word, ranks, 10**6)))
+    assert ids(e.word(word)) == known
+    state = bpe.WordState(e)
+    pieces = [state.feed(word[i : i + 3]) for i in range(0, len(word), 3)]
+    assert ids(b"".join(pieces) + state.finish()) == known
 
 
 @settings(max_examples=200, deadline=None)
@@ -137,6 +145,24 @@ def test_documents(spark, reference):
     assert tokens.token_ids(df.limit(0)).count() == 0
 
 
+def test_memory_is_constant_and_time_in_proportion(encoder):
+    import tracemalloc
+
+    words = "The plant's output rose, naïve 日本 4711. " * 1000
+
+    def peak(times):
+        tracemalloc.start()
+        n = sum(len(x) for x in encoder.stream(words for _ in range(times)))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return n, most
+
+    (few, small), (many, large) = peak(5), peak(100)
+    assert many > 19 * few and large < 1.2 * small + (1 << 20)
+    random_letters = "".join(chr(97 + (k * k * 31 + k // 7) % 26) for k in range(200_000))
+    assert len(encoder.encode(random_letters)) > 0  # quadratic merging would take minutes
+
+
 def test_one_pass_without_a_shuffle(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = tokens.token_ids(df)._jdf.queryExecution().executedPlan().toString()
