@@ -16,9 +16,11 @@ goes on with a sentence. The same holds for the spaces of scripts without any fu
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import regex
 
@@ -31,21 +33,29 @@ GREEK_QUESTION = ";\u037e"
 LIST_MARK = r"(?:[-•*]|\d{1,9}[.)])[^\S\r\n]+"
 
 _NEW_LINE = r"(?>\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])"
+_ANY_LINE = re.compile("[\n\r\x0b\x0c\x85\u2028\u2029]")
 _BLANK = regex.compile(rf"(?:{_NEW_LINE}[^\S\r\n]*){{2,}}|\u2029")
 _ITEM = regex.compile(rf"{_NEW_LINE}[^\S\r\n]*({LIST_MARK})")
-_NUMBER = regex.compile(r"\s*(\d{1,9})[.)]")
-_ITEM_START = regex.compile(rf"\s*{LIST_MARK}")
+_NUMBER = re.compile(r"\s*(\d{1,9})[.)]")
+_ITEM_START = re.compile(rf"\s*{LIST_MARK}")
 _CLOSERS = set("".join(OPENERS.values()) + "".join(QUOTES.values()))
-_PAIRED = regex.compile("[" + regex.escape("".join({*OPENERS, *_CLOSERS, *QUOTES})) + "]")
-_MARKS = regex.compile(rf"[{HARD}{SOFT}{GREEK_QUESTION}|]+")
+_PAIRED = re.compile("[" + re.escape("".join({*OPENERS, *_CLOSERS, *QUOTES})) + "]")
+_MARKS = re.compile(rf"[{HARD}{SOFT}{GREEK_QUESTION}|]+")
 _SPACELESS = r"\p{Thai}\p{Lao}"
 _DOT = r"\.(?![0-9A-Za-z_])|(?<=[\p{Han}\p{Hiragana}\p{Katakana}）」』])\."
 _EVENT = regex.compile(rf"(?:{_DOT}|[{HARD}!?…．‼⁇⁈⁉{GREEK_QUESTION}|])[{HARD}{SOFT}{GREEK_QUESTION}|]*|(?<=[{_SPACELESS}ๆฯ])\s+(?=\S)|(?<=\S)\s+(?=[{_SPACELESS}])")
+#: The same for blocks without such scripts.
+_MARKED = regex.compile(rf"(?:{_DOT}|[{HARD}!?…．‼⁇⁈⁉{GREEK_QUESTION}|])[{HARD}{SOFT}{GREEK_QUESTION}|]*")
+#: What tells that a block needs more than the quick search: signs of scripts without case, Greek, sentence marks of
+#: other scripts, or marks next to signs that end sentences elsewhere. Signs that are none of these may be among them.
+_MANIFOLD = re.compile("[ªºƻǀ-ǃʔ\u0370-\u03ff\u0530-\u1dff\u1f00-\u200f\u2028-\u202f\u203c\u2047-\u2049\u205f-\u209f\u20d0-\u218f\u2c00-\U0001efff\U0001fb00-\U0010ffff]|[.!?…][;|]|[;|][.!?…]")
+_MIXED = re.compile(r"[.!?][;|]|[;|][.!?]")
+_QUICK = re.compile(r"[.!?…]+(?=\s+(\S+))")
 _HAS_SPACELESS = regex.compile(rf"[{_SPACELESS}]")
 _EAST = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}　-〿＀-￯％%]")
 _EAST_LETTER = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _AFTER_OPENING = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}(\[{（「『“„”«»」』。！？，、；：\"]")
-_WORD_AFTER = regex.compile(r"[\s(\[{（「『“„«»\"¿¡]*([^\s,;:!?)\]}。，、]*)")
+_WORD_AFTER = re.compile(r"[\s(\[{（「『“„«»\"¿¡]*([^\s,;:!?)\]}。，、]*)")
 _LETTER = regex.compile(r"\p{L}")
 _GREEK = regex.compile(r"\p{Greek}")
 _DEVANAGARI = regex.compile(r"\p{Devanagari}")
@@ -54,13 +64,17 @@ _PROSE_SYMBOL = regex.compile(r"[\p{L}\p{M}\s]")
 
 _OPENING = {*OPENERS, *QUOTES, "¿", "¡"}
 INITIAL = "A."
-_DIGIT, _DIGITS = regex.compile(r"\d"), regex.compile(r"[\d.,\s]+")
+_DIGIT, _DIGITS = re.compile(r"\d"), re.compile(r"[\d.,\s]+")
 NGRAM = 4
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
     """Start and end of each paragraph, and of each list item in it."""
     at = 0
+    if not _ANY_LINE.search(text):
+        if text:
+            yield 0, len(text)
+        return
     for gap in [*_BLANK.finditer(text), None]:
         end = gap.start() if gap else len(text)
         if end > at:
@@ -115,7 +129,23 @@ def _may_open(block: str, c: str, at: int) -> bool:
     return c != "”" or not at or block[at - 1].isspace() or block[at - 1] in OPENERS
 
 
-def shape(word: str) -> str:
+class _Remembered(dict):
+    """Results of a function of a short text; emptied when full, so its memory is bounded."""
+
+    MOST = 200_000
+
+    def __init__(self, function) -> None:
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, text: str):
+        if len(self) >= self.MOST:
+            self.clear()
+        self[text] = found = self.function(text)
+        return found
+
+
+def _shape(word: str) -> str:
     """U(pper), l(ower), d(igit), o(ther script) or - (nothing), by the first letter or digit."""
     for c in word:
         if c.isdigit():
@@ -125,6 +155,10 @@ def shape(word: str) -> str:
     return "-"
 
 
+_SHAPES = _Remembered(_shape)
+shape = _SHAPES.__getitem__
+
+
 def _composed(word: str) -> str:
     return word if word.isascii() else unicodedata.normalize("NFC", word)
 
@@ -136,21 +170,42 @@ def _pooled(word: str) -> str:
     return word
 
 
+def _last_word(token: str) -> str:
+    if not token.isalnum():
+        token = _AFTER_OPENING.split(token)[-1].lstrip("'’‘")
+    return _pooled(_composed(token))
+
+
+def _first_word(token: str) -> str | None:
+    """None where the word lies beyond the token, after opening marks."""
+    m = _WORD_AFTER.match(token)
+    return None if not m[1] and m.end() == len(token) else _named(m[1])
+
+
+def _named(word: str) -> str:
+    word = _composed(word)
+    if len(word) == 2 and word[1] == "." and word[0].isupper():
+        return INITIAL
+    return _pooled(word.rstrip(".'’"))
+
+
+_LAST_WORDS, _FIRST_WORDS = _Remembered(_last_word), _Remembered(_first_word)
+#: Words are told from so many characters before a mark; tokens after it that are longer aren't remembered.
+_NEAR = 40
+
+
 def word_before(block: str, at: int) -> str:
-    near = block[max(0, at - 40) : at]
+    near = block[at - _NEAR if at > _NEAR else 0 : at]
     if not near or near[-1].isspace():
         return ""
-    word = near.rsplit(None, 1)[-1]
-    if not word.isalnum():
-        word = _AFTER_OPENING.split(word)[-1].lstrip("'’‘")
-    return _pooled(_composed(word))
+    return _LAST_WORDS[near.rsplit(None, 1)[-1]]
 
 
 def word_after(block: str, at: int) -> str:
-    word = _composed(_WORD_AFTER.match(block, at)[1])
-    if len(word) == 2 and word[1] == "." and word[0].isupper():
-        return INITIAL
-    return _pooled(word.rstrip(".'’"))
+    near = block[at : at + _NEAR].split(None, 1)
+    if near and len(near[0]) < _NEAR and (word := _FIRST_WORDS[near[0]]) is not None:
+        return word
+    return _named(_WORD_AFTER.match(block, at)[1])
 
 
 def is_folded(text: str) -> bool:
@@ -164,17 +219,24 @@ def is_prose(text: str) -> bool:
     core = text.strip()
     if core[:1] in "{[" and core[-1:] in "}]" and '":' in core:
         return False
-    return len(set(core)) > 30 or len(_PROSE_SYMBOL.findall(core)) >= 0.5 * len(core)
+    return len(set(core[:300])) > 30 or len(set(core)) > 30 or len(_PROSE_SYMBOL.findall(core)) >= 0.5 * len(core)
+
 
+class Candidate(NamedTuple):
+    """end: where the sentence would end; after: where the next would begin; kind: hard, . ! … or space; mark: where its
+    marks begin; pair: the quotation or bracket that ends right there, its last mark of a sentence inside; token and
+    following: the signs before the marks and after them, up to white space, where the quick search found it."""
 
-class Candidate:
-    """end: where the sentence would end; after: where the next would begin; kind: hard, . ! … or space; pair: the
-    quotation or bracket that ends right there, its last mark of a sentence inside."""
+    end: int
+    after: int
+    kind: str
+    mark: int
+    pair: tuple[int, int] | None
+    token: str = ""
+    following: str = ""
 
-    __slots__ = ("after", "end", "kind", "mark", "pair")
 
-    def __init__(self, end: int, after: int, kind: str, mark: int, pair: tuple[int, int] | None) -> None:
-        self.end, self.after, self.kind, self.mark, self.pair = end, after, kind, mark, pair
+_made = tuple.__new__
 
 
 def candidates(block: str, first: int = 0) -> list[Candidate]:
@@ -182,15 +244,17 @@ def candidates(block: str, first: int = 0) -> list[Candidate]:
     out: list[Candidate] = []
     closed = pairs(block) if _PAIRED.search(block) else []
     n, p = len(block), 0
-    for m in _EVENT.finditer(block, first):
-        at, end = m.start(), m.end()
-        while p < len(closed) and closed[p][1] < at:
-            p += 1
-        pair = closed[p] if p < len(closed) and closed[p][0] < at else None
+    for m in (_EVENT if _HAS_SPACELESS.search(block) else _MARKED).finditer(block, first):
+        at, end = m.span()
+        pair = None
+        if closed:
+            while p < len(closed) and closed[p][1] < at:
+                p += 1
+            pair = closed[p] if p < len(closed) and closed[p][0] < at else None
         marks = m[0]
         if marks[0].isspace():
-            if pair is None and not (out and out[-1].after == end):
-                out.append(Candidate(at, end, "space", at, None))
+            if pair is None and not (out and out[-1][1] == end):
+                out.append(_made(Candidate, (at, end, "space", at, None, "", "")))
             continue
         if pair is not None:
             # Only marks right before the closing mark can end the sentence, together with it.
@@ -205,22 +269,74 @@ def candidates(block: str, first: int = 0) -> list[Candidate]:
                 continue
         if end >= n:
             continue
-        kind = _kind(block, at, end, marks)
+        spaced = block[end].isspace()
+        kind = "." if spaced and marks == "." and block[at - 1 : at].isascii() else _kind(block, at, end, marks)
+        if kind is None:
+            continue
         after = end
-        while after < n and block[after].isspace():
+        if spaced:
             after += 1
-        if kind is None or after >= n:
-            continue
-        if after == end and kind != "hard":
+            while after < n and block[after].isspace():
+                after += 1
+            if after >= n:
+                continue
+        elif kind != "hard":
             continue
-        out.append(Candidate(end, after, kind, at, pair))
+        out.append(_made(Candidate, (end, after, kind, at, pair, "", "")))
+    return out
+
+
+def is_manifold(block: str) -> bool:
+    if block.isascii():
+        return (";" in block or "|" in block) and bool(_MIXED.search(block))
+    return bool(_MANIFOLD.search(block))
+
+
+def quick_candidates(block: str, first: int = 0) -> list[Candidate]:
+    """candidates() of a block in cased letters only."""
+    out, p = [], 0
+    closed = pairs(block) if _PAIRED.search(block) else ()
+    for m in _QUICK.finditer(block, first):
+        at, end = m.span()
+        if closed:
+            while p < len(closed) and closed[p][1] < at:
+                p += 1
+            if p < len(closed) and closed[p][0] < at:
+                continue
+        marks = m[0]
+        kind = "." if marks == "." else "…" if "…" in marks or ".." in marks else "!"
+        near = block[at - _NEAR if at > _NEAR else 0 : at]
+        token = near.rsplit(None, 1)[-1] if near and not near[-1].isspace() else ""
+        out.append(_made(Candidate, (end, m.start(1), kind, at, None, token, m[1])))
+    if closed:
+        # Marks right before a closing mark end the sentence together with it.
+        ends = [c for pair in closed for c in candidates_of_pair(block, pair, first)]
+        if ends:
+            out += ends
+            out.sort()
     return out
 
 
+def candidates_of_pair(block: str, pair: tuple[int, int], first: int) -> list[Candidate]:
+    """The candidate of the marks right before a closing mark, if there are any."""
+    opened, inner = pair
+    n, stop = len(block), inner
+    while stop > opened + 1 and (block[stop - 1].isspace() or block[stop - 1] in _CLOSERS):
+        stop -= 1
+    begin = stop
+    while begin > opened + 1 and block[begin - 1] in ".!?…":
+        begin -= 1
+    gap, end = block[stop:inner].strip(), inner + 1
+    if begin == stop or begin < first or end >= n or gap and gap not in _CLOSERS or _MARKS.match(block, end) or not block[end].isspace():
+        return []
+    kind, after = _kind(block, begin, end, block[begin:stop]), end
+    while after < n and block[after].isspace():
+        after += 1
+    return [_made(Candidate, (end, after, kind, begin, pair, "", ""))] if kind is not None and after < n else []
+
+
 def _kind(block: str, at: int, end: int, marks: str) -> str | None:
     before, after = block[at - 1 : at], block[end : end + 1]
-    if marks == "." and after.isspace() and before.isascii():
-        return "."
     if any(c in HARD for c in marks):
         return "hard"
     if ";" in marks or "\u037e" in marks or "|" in marks:
@@ -260,7 +376,8 @@ def _script(word: str) -> str:
 
 def _context(block: str, at: int) -> str:
     """Script of the last few words."""
-    return _script(block[max(0, at - 24) : at])
+    near = block[at - 24 if at > 24 else 0 : at]
+    return "c" if near.isascii() else _script(near)
 
 
 def count_text(text: str, counts: Counter) -> None:
@@ -300,28 +417,53 @@ def count_text(text: str, counts: Counter) -> None:
                 counts["E", before.casefold()] += 1
                 if plain:
                     counts["E.", before, context] += 1
+        if not is_manifold(block):
+            for _, after, kind, _, pair, token, following in quick_candidates(block, _item_end(block) if item else 0):
+                if not pair:
+                    if len(following) >= _NEAR or _FIRST_WORDS[following] is None:
+                        following = word_after(block, after)
+                    counts[QUICK, kind, token, following, plain] += 1
+            continue
         for c in candidates(block, _item_end(block)):
-            if c.kind == "hard" or c.pair:
+            end, after, kind, mark, pair, _, _ = c
+            if kind == "hard" or pair:
                 continue
-            if c.kind == "space":
+            if kind == "space":
                 joined = _joined(block, c)
-                counts["u", _gram(block, c.after), joined] += 1
-                counts["v", block[max(0, c.end - NGRAM) : c.end], joined] += 1
+                counts["u", _gram(block, after), joined] += 1
+                counts["v", block[max(0, end - NGRAM) : end], joined] += 1
                 continue
-            before, after = word_before(block, c.mark), word_after(block, c.after)
-            if c.kind == ".":
-                counts["W", before.casefold()] += 1
-            counts["B", c.kind] += 1
+            counts[INSIDE, kind, word_before(block, mark), word_after(block, after), _context(block, mark), plain] += 1
+
+
+#: Candidates inside paragraphs are counted as they are first, and then by what they tell.
+INSIDE, QUICK = "*", "**"
+
+
+def told(counts: Counter) -> Counter:
+    """The counts with each candidate inside a paragraph resolved into what its words, shapes and script tell."""
+    out = Counter({k: n for k, n in counts.items() if k[0] != INSIDE and k[0] != QUICK})
+    for key, n in counts.items():
+        if key[0] == INSIDE:
+            _, kind, before, after, context, plain = key
+        elif key[0] == QUICK:
+            _, kind, token, following, plain = key
+            before, context = _LAST_WORDS[token] if token else "", "c"
+            after = following if len(following) >= _NEAR else _FIRST_WORDS[following] or ""
+        else:
+            continue
+        out["B", kind] += n
+        out["X", after.casefold()] += n
+        if kind == ".":
+            out["W", before.casefold()] += n
+        if plain:
+            s = shape(after)
             # What follows a title or an initial says nothing of what follows other words.
-            telling = c.kind != "." or len(before) > 4 or any(x.isdigit() for x in before)
-            counts["X", after.casefold()] += 1
-            if plain:
-                s = shape(after)
-                counts["x", after] += telling
-                context = _context(block, c.mark)
-                counts["b", c.kind, context, s] += 1
-                if c.kind == ".":
-                    counts["w", before, s, context] += 1
+            out["x", after] += n * (kind != "." or len(before) > 4 or any(x.isdigit() for x in before))
+            out["b", kind, context, s] += n
+            if kind == ".":
+                out["w", before, s, context] += n
+    return out
 
 
 def _item_end(block: str) -> int:
@@ -364,7 +506,7 @@ class Model:
     PRIOR, PRIOR_UNCASED = 1.5, 5.0
 
     def __init__(self, counts: Counter) -> None:
-        c = counts
+        c = told(counts)
         ends = c["e", "!"]
         # Of all sentence ends, one at a paragraph's end stands for so many inside.
         self.ratio = ratio = c["B", "!"] / ends if c["B", "!"] and ends else 3.0
@@ -387,6 +529,7 @@ class Model:
                     elif stops[script] and s in "Uod":
                         p = max(p, 0.7)  # a few abbreviations, known by their own counts, don't speak for the rest
                     self.base[kind, script, s] = p
+        self.base_gain = {k: _logit(p) for k, p in self.base.items()}
         self.folded_base = min(ratio * sum(c["e", ".", k] for k in scripts) / max(c["B", "."], 1), 0.97)
         self.next = {}
         for k, n in c.items():
@@ -402,6 +545,8 @@ class Model:
                 self.previous[word, s, script] = self._known(c["E.", word, script], n, p0, self.share.get((script, s), 0.02), self.PRIOR if script == "c" else self.PRIOR_UNCASED) - _logit(p0)
         self.previous_folded = {k[1]: self._known(c["E", k[1]], n, self.folded_base) - _logit(self.folded_base) for k, n in c.items() if k[0] == "W"}
         self.space_next, self.space_previous = self._spaces(c, "t", "u"), self._spaces(c, "T", "v")
+        #: Scores of candidates in cased text by the signs around them; bounded.
+        self.known: tuple[dict, dict] = ({}, {})
         self.starts = {k[1] for k, n in c.items() if k[0] == "s" and n >= 5}
 
     def _known(self, at_edge: int, inside: int, p0: float, share: float = 1.0, weight: float = PRIOR) -> float:
@@ -434,38 +579,40 @@ class Model:
 
     def score(self, block: str, c: Candidate, folded: bool) -> float:
         """Log-odds of a boundary at a candidate that isn't fixed."""
-        if c.kind == "space":
+        _, at, mark_kind, mark, *_ = c
+        if mark_kind == "space":
             joined = _joined(block, c)
-            if not joined and block[c.after].isalpha() and word_after(block, c.after) in self.starts:
+            if not joined and block[at].isalpha() and word_after(block, at) in self.starts:
                 return 2.0
-            seen = self.space_next.get((_gram(block, c.after), joined), 0.0) + self.space_previous.get((block[max(0, c.end - NGRAM) : c.end], joined), 0.0)
+            seen = self.space_next.get((_gram(block, at), joined), 0.0) + self.space_previous.get((block[max(0, c.end - NGRAM) : c.end], joined), 0.0)
             return seen + _logit(_SPACE_PRIOR[joined])
-        after = word_after(block, c.after)
-        if not after and block[c.after] not in _OPENING:
+        after = word_after(block, at)
+        if not after and block[at] not in _OPENING:
             return -4.0
-        before = word_before(block, c.mark) if c.kind == "." else ""
+        stop = mark_kind == "."
+        before = word_before(block, mark) if stop else ""
         if folded:
-            s = _logit(self.folded_base if c.kind == "." else 0.9 if c.kind == "!" else 0.3) + self.next_folded.get(after.casefold(), 0.0)
+            s = _logit(self.folded_base if stop else 0.9 if mark_kind == "!" else 0.3) + self.next_folded.get(after.casefold(), 0.0)
             s = _joint(s, self.previous_folded.get(before.casefold(), 0.0) if before else 0.0)
         else:
             kind = shape(after)
-            s = 0.0 if after == INITIAL and c.kind != "." else self.next.get(after, 0.0)
-            if c.kind == "…":
+            s = 0.0 if after == INITIAL and not stop else self.next.get(after, 0.0)
+            if mark_kind == "…":
                 # Dots that trail off within a sentence.
                 s += 1.5 if kind == "U" else -3.0
             else:
-                context = _context(block, c.mark)
+                context = _context(block, mark)
                 if context != "c" and before and not _UNCASED.search(before) and (kind == "l" or self.previous.get((before, kind, "c"), 0.0) < -2.0):
                     context = "c"  # a western text that has just begun
-                ends = c.kind == "!" or before[-1:].isdigit() or len(before) > 3 and before.islower()
-                if kind == "o" and context == "c" and ends:
+                if kind == "o" and context == "c" and (mark_kind == "!" or before[-1:].isdigit() or len(before) > 3 and before.islower()):
                     return 2.0  # another script begins after what isn't an abbreviation
                 if context != "c":
                     s = min(max(s, -1.5), 1.5)  # without capitals what precedes the mark tells more
-                s += _logit(self.base.get((c.kind, context, kind), 0.5))
+                s += self.base_gain.get((mark_kind, context, kind), 0.0)
                 if before:
-                    s = _joint(s, self.previous.get((before, kind, context), 0.0))
-                    if kind == "o" and before.isascii() and not any(x.isdigit() for x in before) and _EAST_LETTER.match(block, c.after):
+                    seen = self.previous.get((before, kind, context), 0.0)
+                    s = s + seen if seen >= -3.0 or s < 2.0 else 2.0 + seen  # as in _joint
+                    if kind == "o" and before.isascii() and not any(x.isdigit() for x in before) and _EAST_LETTER.match(block, at):
                         s -= 6.0  # such text has no spaces but after a foreign abbreviation
         if len(before) == 1 and before.isalpha() and before.isupper() | folded:
             s -= 8.0  # an initial
@@ -497,10 +644,23 @@ def _pair_score(block: str, c: Candidate, begin: int, folded: bool) -> float:
 
 def decode(block: str, model: Model, folded: bool, first: int = 0) -> list[tuple[int, int]]:
     """Start and end of the block's sentences: the best path over its candidates."""
-    found = candidates(block, first)
+    if is_manifold(block):
+        found = candidates(block, first)
+        gains = [None if c.pair else _hard(block, c) if c.kind == "hard" else model.score(block, c, folded) for c in found]
+    else:
+        found, gains, known = quick_candidates(block, first), [], model.known[folded]
+        for c in found:
+            _, _, kind, _, pair, token, following = c
+            gain = None if pair else known.get((kind, token, following))
+            if gain is None and not pair:
+                gain = model.score(block, c, folded)
+                if len(following) < _NEAR and _FIRST_WORDS[following] is not None:
+                    if len(known) >= _Remembered.MOST:
+                        known.clear()
+                    known[kind, token, following] = gain
+            gains.append(gain)
     if not found:
         return [(0, len(block))]
-    gains = [None if c.pair else _hard(block, c) if c.kind == "hard" else model.score(block, c, folded) for c in found]
     if None not in gains and _lettered(block, found, first):
         # Nothing depends on the tag before, so the best path takes every candidate that gains.
         ends = [k for k, g in enumerate(gains) if g > 0]
@@ -516,10 +676,10 @@ def decode(block: str, model: Model, folded: bool, first: int = 0) -> list[tuple
 
 def _lettered(block: str, found: list[Candidate], begin: int) -> bool:
     """Whether there is a letter between any two candidates."""
-    for c in found:
-        if c.end - begin < _LONG_ENOUGH and not _LETTER.search(block, begin, c.end):
+    for end, after, *_ in found:
+        if end - begin < _LONG_ENOUGH and not block[begin].isalpha() and not _LETTER.search(block, begin, end):
             return False
-        begin = c.after
+        begin = after
     return True
 
 
@@ -533,19 +693,20 @@ def _best_path(block: str, found: list[Candidate], gains: list[float | None], fo
     back: list[tuple[int, int]] = []  # candidate, previous place
     last = len(found) - 1
     for k, c in enumerate(found):
-        best, kept, plain = None, [], None
+        best, kept, plain, gain = None, [], None, gains[k]
+        end, following = c[0], found[k + 1][0] if k < last else 0
         for score, begin, place in paths:
-            gain = gains[k]
-            if gain is None:
+            if gains[k] is None:
                 gain = _pair_score(block, c, begin, folded)
-            begun = max(begin, first)
+            begun = begin if begin > first else first
             ended = score + gain / 2
-            if c.end - begun < _LONG_ENOUGH and not _LETTER.search(block, begun, c.end):
+            lettered = block[begun].isalpha()
+            if end - begun < _LONG_ENOUGH and not lettered and not _LETTER.search(block, begun, end):
                 ended += _NO_LETTER
             if best is None or ended > best[0]:
                 best = (ended, place)
             path = (score - gain / 2, begin, place)
-            if k < last and block[begun] not in _OPENING and (found[k + 1].end - begun >= _LONG_ENOUGH or _LETTER.search(block, begun, found[k + 1].end)):
+            if k < last and (lettered or block[begun] not in _OPENING and (following - begun >= _LONG_ENOUGH or _LETTER.search(block, begun, following))):
                 if plain is None or path > plain:
                     plain = path
             else:
@@ -553,7 +714,7 @@ def _best_path(block: str, found: list[Candidate], gains: list[float | None], fo
         back.append((k, best[1]))
         if plain:
             kept.append(plain)
-        kept.append((best[0], c.after, len(back) - 1))
+        kept.append((best[0], c[1], len(back) - 1))
         paths = kept
     place, ends = max(paths)[2], []
     while place >= 0:
@@ -574,13 +735,10 @@ def sentences(text: str, model: Model) -> list[tuple[int, int]]:
         return [_trimmed(text, 0, len(text))]
     folded, out = is_folded(text), []
     for a, b in blocks(text):
-        block = text[a:b]
-        if not block or block.isspace():
-            continue
-        for s, e in decode(block, model, folded, _item_end(block)):
-            s, e = _trimmed(text, a + s, a + e)
-            if e > s:
-                out.append((s, e))
+        a, b = _trimmed(text, a, b)
+        if a < b:
+            block = text[a:b]
+            out += [(a + s, a + e) for s, e in decode(block, model, folded, _item_end(block))]
     return out
 
 
