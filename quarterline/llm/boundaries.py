@@ -2,8 +2,9 @@
 
 Every character is tagged boundary (a sentence ends with it) or inside. Blank lines, list items and the full stops of
 scripts that use them for nothing else fix the tag; inside quotation marks and brackets it is always inside; only at
-the remaining candidates (ambiguous marks, spaces of scripts written without marks) is there a choice, so the chain is
-decoded from candidate to candidate. A path may not cut off a segment without a letter, and a bracket or a quotation
+the remaining candidates (ambiguous marks, spaces of scripts written without marks, gaps in texts that have neither) is
+there a choice, so the chain is decoded from candidate to candidate. What a tag adds to the next one is learned. A path
+may not cut off a segment without a letter, and a bracket or a quotation
 ends its sentence only if that began with it or introduced it, so tags depend on the tag before.
 
 Nobody marked boundaries in the texts, but the end and the beginning of each paragraph are boundaries whatever their
@@ -384,7 +385,7 @@ def count_text(text: str, counts: Counter) -> None:
     """Adds what a text tells: words before and after candidates inside paragraphs and at paragraphs' ends."""
     if not text or not is_prose(text):
         return
-    plain = not is_folded(text)
+    plain, runs = not is_folded(text), [0] * 6
     for a, b in blocks(text):
         block = text[a:b].strip()
         if not block:
@@ -417,23 +418,75 @@ def count_text(text: str, counts: Counter) -> None:
                 counts["E", before.casefold()] += 1
                 if plain:
                     counts["E.", before, context] += 1
+        tag = START
         if not is_manifold(block):
             for _, after, kind, _, pair, token, following in quick_candidates(block, _item_end(block) if item else 0):
                 if not pair:
                     if len(following) >= _NEAR or _FIRST_WORDS[following] is None:
                         following = word_after(block, after)
+                        likely = shape(following) in _LIKELY
+                    else:
+                        likely = shape(_FIRST_WORDS[following]) in _LIKELY
                     counts[QUICK, kind, token, following, plain] += 1
+                    runs[2 * tag + likely] += 1
+                    tag = END if likely else GOES_ON
             continue
+        if (script := _stripped_script(block)) and _MARKS.search(block):
+            _count_stripped(block, script, counts)
         for c in candidates(block, _item_end(block)):
             end, after, kind, mark, pair, _, _ = c
             if kind == "hard" or pair:
+                tag = END
                 continue
             if kind == "space":
                 joined = _joined(block, c)
                 counts["u", _gram(block, after), joined] += 1
                 counts["v", block[max(0, end - NGRAM) : end], joined] += 1
                 continue
-            counts[INSIDE, kind, word_before(block, mark), word_after(block, after), _context(block, mark), plain] += 1
+            following = word_after(block, after)
+            counts[INSIDE, kind, word_before(block, mark), following, _context(block, mark), plain] += 1
+            likely = shape(following) in _LIKELY
+            runs[2 * tag + likely] += 1
+            tag = END if likely else GOES_ON
+    if plain:
+        for k, n in enumerate(runs):
+            if n:
+                counts["a", k // 2, bool(k % 2)] += n
+
+
+#: Tags before a candidate: none yet in the block, a boundary, or inside.
+START, END, GOES_ON = 0, 1, 2
+#: Shapes of a following word that make a boundary the better guess.
+_LIKELY = "Uo"
+
+#: Scripts without spaces between words. Where a text in one of them has no marks either, any two characters may belong
+#: to two sentences; what stands before and after marks elsewhere, the marks stripped, tells which.
+_STRIPPED = {"Han": r"[\p{Han}\p{Hiragana}\p{Katakana}]", "Khmer": r"\p{Khmer}", "Myanmar": r"\p{Myanmar}"}
+_OF_STRIPPED = {name: regex.compile(p) for name, p in _STRIPPED.items()}
+_ANY_STRIPPED = regex.compile("|".join(_STRIPPED.values()))
+_UNJOINED = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
+#: So many characters are looked at on each side of a gap; combining signs are characters, too.
+_SIDES = {"Han": 2, "Khmer": 3, "Myanmar": 3}
+
+
+def _stripped_script(block: str) -> str | None:
+    """The script of a block if it begins with one of those."""
+    m = _ANY_STRIPPED.search(block, 0, 40)
+    return next((name for name, p in _OF_STRIPPED.items() if p.match(m[0])), None) if m else None
+
+
+def _count_stripped(block: str, script: str, counts: Counter) -> None:
+    """Runs of characters at the ends and the beginnings of what lies between marks, and all of them."""
+    side = _SIDES[script]
+    for part in _MARKS.split(block):
+        part = _UNJOINED.sub("", part)
+        if len(part) > 2 * side:
+            counts["g", script, "n"] += len(part) - 1
+            counts["g", script, "e"] += 1
+            counts["gb", script, part[:side]] += 1
+            counts["ge", script, part[-side:]] += 1
+            for k in range(len(part) - side + 1):
+                counts["gn", script, part[k : k + side]] += 1
 
 
 #: Candidates inside paragraphs are counted as they are first, and then by what they tell.
@@ -481,6 +534,10 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def _logit_of(p: float) -> float:
+    return math.log(p / (1 - p)) if 0 < p < 1 else math.copysign(_FIXED, p - 0.5)
+
+
 def _gram(block: str, at: int) -> str:
     """The first characters of what may be a sentence without spaces; one sign for a number."""
     return "0" if block[at].isdigit() else block[at : at + NGRAM]
@@ -499,14 +556,27 @@ def _joint(after: float, before: float) -> float:
     return min(after, 2.0) + before if before < -3.0 else after + before
 
 
+#: Keys that count a word inside paragraphs, and those that count it at their edges.
+_PARTNERS = {"x": "s", "s": "s", "X": "S", "S": "S", "w": "E.", "E.": "E.", "W": "E", "E": "E", "u": "t", "t": "t", "v": "T", "T": "T"}
+COUNTED_INSIDE = frozenset("xXwWuv")
+
+
+def told_of(key: tuple) -> tuple | None:
+    """What a key tells something of; None for those that tell of all words."""
+    return (_PARTNERS[key[0]], key[1]) if key[0] in _PARTNERS else None
+
+
 class Model:
     """Log-odds of a boundary from the counts of a sample."""
 
     #: Weight of what is usual against a word's own counts; in scripts without case few words are abbreviations.
     PRIOR, PRIOR_UNCASED = 1.5, 5.0
+    #: Counts of what is usual that a rate of transitions or of gaps starts from.
+    USUAL = 5.0
 
     def __init__(self, counts: Counter) -> None:
-        c = told(counts)
+        #: What it was made of, and can be made of again.
+        self.counts = c = told(counts)
         ends = c["e", "!"]
         # Of all sentence ends, one at a paragraph's end stands for so many inside.
         self.ratio = ratio = c["B", "!"] / ends if c["B", "!"] and ends else 3.0
@@ -545,6 +615,20 @@ class Model:
                 self.previous[word, s, script] = self._known(c["E.", word, script], n, p0, self.share.get((script, s), 0.02), self.PRIOR if script == "c" else self.PRIOR_UNCASED) - _logit(p0)
         self.previous_folded = {k[1]: self._known(c["E", k[1]], n, self.folded_base) - _logit(self.folded_base) for k, n in c.items() if k[0] == "W"}
         self.space_next, self.space_previous = self._spaces(c, "t", "u"), self._spaces(c, "T", "v")
+        #: What the tag before adds to a candidate's log-odds: learned from runs of tags as the next word's shape suggests
+        #: them, with some counts of what is usual.
+        yes, no = (sum(c["a", tag, x] for tag in (START, END, GOES_ON)) for x in (True, False))
+        usual = (yes + 1) / (yes + no + 2)
+        self.transition = tuple(
+            _logit((c["a", tag, True] + self.USUAL * usual) / (c["a", tag, True] + c["a", tag, False] + self.USUAL)) - _logit(usual) for tag in (START, END, GOES_ON)
+        )
+        self.most_transition = max(map(abs, self.transition))
+        #: Per stripped script the log-odds of any gap, and by the characters before and after it beyond that.
+        self.gaps = {}
+        for _, script, _ in [k for k in c if k[0] == "g" and k[2] == "e"]:
+            rate = c["g", script, "e"] / c["g", script, "n"]
+            sides = ({k[2]: _logit_of((c[edge, script, k[2]] + self.USUAL * rate) / (n + self.USUAL)) - _logit_of(rate) for k, n in c.items() if k[0] == "gn" and k[1] == script} for edge in ("ge", "gb"))
+            self.gaps[script] = (_logit_of(rate), *sides)
         #: Scores of candidates in cased text by the signs around them; bounded.
         self.known: tuple[dict, dict] = ({}, {})
         self.starts = {k[1] for k, n in c.items() if k[0] == "s" and n >= 5}
@@ -659,13 +743,17 @@ def decode(block: str, model: Model, folded: bool, first: int = 0) -> list[tuple
                         known.clear()
                     known[kind, token, following] = gain
             gains.append(gain)
+    if not found and (script := _stripped_script(block)) and script in model.gaps and not _MARKS.search(block):
+        found, gains = _gaps(block, first, _SIDES[script], *model.gaps[script])
     if not found:
         return [(0, len(block))]
-    if None not in gains and _lettered(block, found, first):
-        # Nothing depends on the tag before, so the best path takes every candidate that gains.
+    if None in gains or not _lettered(block, found, first):
+        ends = _best_path(block, found, gains, folded, first, model.transition)
+    elif min(map(abs, gains)) > model.most_transition:
+        # The tag before can't turn any candidate, so the best path takes every one that gains.
         ends = [k for k, g in enumerate(gains) if g > 0]
     else:
-        ends = _best_path(block, found, gains, folded, first)
+        ends = _chain(gains, model.transition)
     spans, begin = [], 0
     for k in ends:
         spans.append((begin, found[k].end))
@@ -674,6 +762,39 @@ def decode(block: str, model: Model, folded: bool, first: int = 0) -> list[tuple
     return spans
 
 
+def _gaps(block: str, first: int, side: int, usual: float, before: dict[str, float], after: dict[str, float]) -> tuple[list[Candidate], list[float]]:
+    """Gaps between characters where a sentence without any mark may end. White space belongs to neither side."""
+    found, gains = [], []
+    for k in range(first + 2 * side, len(block) - 2 * side):
+        if not block[k].isalnum() or block[k - 1].isspace() and block[k - 2].isspace():
+            continue  # combining signs and white space begin nothing
+        end = k - 1 if block[k - 1].isspace() else k
+        gain = usual + before.get(block[end - side : end], -2.0) + after.get(block[k : k + side], -2.0)
+        if gain > -_FIXED / 4:
+            found.append(_made(Candidate, (end, k, "gap", end, None, "", "")))
+            gains.append(gain)
+    return found, gains
+
+
+def _chain(gains: list[float], transition: tuple[float, float, float]) -> list[int]:
+    """Viterbi over two tags, boundary and inside, where each tag depends on the one before."""
+    start, ended, going = transition
+    gain = (gains[0] + start) / 2
+    at_end, inside = gain, -gain
+    back = []
+    for g in gains[1:]:
+        a, b = (g + ended) / 2, (g + going) / 2
+        back.append((at_end + a >= inside + b, at_end - a >= inside - b))
+        at_end, inside = max(at_end + a, inside + b), max(at_end - a, inside - b)
+    ends, is_end = [], at_end > inside
+    for k in range(len(gains) - 1, -1, -1):
+        if is_end:
+            ends.append(k)
+        if k:
+            is_end = back[k - 1][0 if is_end else 1]
+    return ends[::-1]
+
+
 def _lettered(block: str, found: list[Candidate], begin: int) -> bool:
     """Whether there is a letter between any two candidates."""
     for end, after, *_ in found:
@@ -683,7 +804,7 @@ def _lettered(block: str, found: list[Candidate], begin: int) -> bool:
     return True
 
 
-def _best_path(block: str, found: list[Candidate], gains: list[float | None], folded: bool, first: int) -> list[int]:
+def _best_path(block: str, found: list[Candidate], gains: list[float | None], folded: bool, first: int, transition: tuple[float, float, float]) -> list[int]:
     """Candidates tagged as boundaries on the path of the greatest log-odds.
 
     The state is where the current sentence began. Of the states for which nothing that follows depends on that place
@@ -693,11 +814,13 @@ def _best_path(block: str, found: list[Candidate], gains: list[float | None], fo
     back: list[tuple[int, int]] = []  # candidate, previous place
     last = len(found) - 1
     for k, c in enumerate(found):
-        best, kept, plain, gain = None, [], None, gains[k]
+        best, kept, plain = None, [], None
         end, following = c[0], found[k + 1][0] if k < last else 0
         for score, begin, place in paths:
             if gains[k] is None:
                 gain = _pair_score(block, c, begin, folded)
+            else:
+                gain = gains[k] + transition[START if not k else END if begin == found[k - 1][1] else GOES_ON]
             begun = begin if begin > first else first
             ended = score + gain / 2
             lettered = block[begun].isalpha()

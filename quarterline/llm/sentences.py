@@ -8,32 +8,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm.boundaries import Model, count_text, sentences
+from quarterline.llm.boundaries import COUNTED_INSIDE, Model, count_text, sentences, told, told_of
+from quarterline.sources import files
+
+#: Keys that a task counts before it passes them on.
+MOST_COUNTED = 500_000
+#: A word has to occur so often inside paragraphs to be known; a rarer one is judged as words in general.
+LEAST = 2
+_OF_A_WORD = '^\\["(s|S|E|E\\.|t|T)", '
+
 
 def train(documents: DataFrame) -> Model:
-    """Counts over all documents and of every key, added up before they reach the driver; that many keys must fit there
-    and on each executor."""
+    """Counts over all documents, added up before they reach the driver. The model knows every word that occurs at least
+    LEAST times inside paragraphs; those must fit on the driver and on each executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+
+        def said() -> pa.RecordBatch:
+            resolved = told(counts)
+            counts.clear()
+            of = [json.dumps(told_of(k) or k) for k in resolved]
+            inside = [n if k[0] in COUNTED_INSIDE or told_of(k) is None else 0 for k, n in resolved.items()]
+            columns = [pa.array(of), pa.array(map(json.dumps, resolved), pa.string()), pa.array(resolved.values(), pa.int64()), pa.array(inside, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["told_of", "key", "n", "inside"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 count_text(text, counts)
-        keys = [json.dumps(k) for k in counts]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["key", "n"])
+                if len(counts) > MOST_COUNTED:
+                    yield said()
+        yield said()
+
+    said = documents.select("text").mapInArrow(run, "told_of string, key string, n long, inside long")
+    keys = said.groupBy("told_of", "key").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"))
+    words = keys.groupBy("told_of").agg(F.collect_list(F.struct("key", "n")).alias("keys"), F.sum("inside").alias("inside"))
+    known = words.where((F.col("inside") >= LEAST) | ~F.col("told_of").rlike(_OF_A_WORD)).select(F.inline("keys")).toArrow()
+    return Model(Counter(dict(zip(map(tuple, json.loads(f"[{','.join(known['key'].to_pylist())}]")), known["n"].to_pylist(), strict=True))))
+
+
+def save(model: Model, spark: SparkSession, path: str) -> None:
+    """Keep a trained model, so that the sentences of later texts don't depend on their company. Fails if it is there."""
+    if not files.write_text(spark, path, json.dumps([[*k, n] for k, n in model.counts.items()])):
+        raise FileExistsError(path)
+
 
-    rows = documents.select("text").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return Model(Counter({tuple(json.loads(r["key"])): r["n"] for r in rows.toLocalIterator()}))
+def load(spark: SparkSession, path: str) -> Model:
+    return Model(Counter({tuple(k): n for *k, n in json.loads(files.read_text(spark, path))}))
 
 
 def sentence_spans(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, start_char, end_char: one row per sentence, in code points, end exclusive, white space around left out.
 
     Null, empty and blank texts have none; a text that is no prose is one sentence, whatever its length. Whole texts,
-    one pass after training, no shuffle.
+    one pass after training, no shuffle. Without a model one is trained on the documents themselves.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model or train(documents))
 

@@ -79,7 +79,8 @@ def test_long_text_is_whole(model):
     assert len(sentences(text, model)) == 20_000
 
 
-def test_best_path_agrees_with_all_paths(model):
+@pytest.mark.parametrize("transition", [(0.0, 0.0, 0.0), (0.4, -0.7, 0.9)])
+def test_best_path_agrees_with_all_paths(model, transition):
     import itertools
 
     block = "1. A. (No change. Yes.) The desk closed. 5. Is it? No. \"It is. Yes.\" The plant"
@@ -87,9 +88,10 @@ def test_best_path_agrees_with_all_paths(model):
     gains = [None if c.pair else boundaries._hard(block, c) if c.kind == "hard" else model.score(block, c, False) for c in found]
 
     def value(tags):
-        begin, total = 0, 0.0
+        begin, total, before = 0, 0.0, boundaries.START
         for c, g, tag in zip(found, gains, tags, strict=True):
-            gain = boundaries._pair_score(block, c, begin, False) if g is None else g
+            gain = boundaries._pair_score(block, c, begin, False) if g is None else g + transition[before]
+            before = boundaries.END if tag else boundaries.GOES_ON
             if tag:
                 letter = any(x.isalpha() for x in block[begin : c.end])
                 total += gain / 2 + (0 if letter or c.end - begin >= boundaries._LONG_ENOUGH else boundaries._NO_LETTER)
@@ -99,7 +101,7 @@ def test_best_path_agrees_with_all_paths(model):
         return total
 
     best = max(itertools.product([0, 1], repeat=len(found)), key=value)
-    ours = set(boundaries._best_path(block, found, gains, False, 0))
+    ours = set(boundaries._best_path(block, found, gains, False, 0, transition))
     assert value(best) == pytest.approx(value([k in ours for k in range(len(found))]))
 
 
@@ -146,3 +148,81 @@ def test_training_counts_every_document(spark):
         count_text(text, counts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert train(df).next == Model(counts).next
+
+
+STRIPPED = {
+    "zh": (["数据组确认了报告", "收入比上一季度高", "没有任何变化", "审计员拒绝了新值", "单位从千改成了百万", "工厂关闭了两周"], "。", ""),
+    "ja": (["データが遅れました", "売上は増えています", "変更はありません", "監査人が確認しました", "単位が変わりました"], "。", ""),
+    "my": (["အချက်အလက် မမှန်ပါ", "ဝင်ငွေ တိုးလာသည်", "ပြောင်းလဲမှု မရှိပါ", "စာရင်းစစ် အတည်ပြုသည်"], "။", " "),
+    "km": (["ទិន្នន័យមិនត្រឹមត្រូវ", "ចំណូលកើនឡើង", "គ្មានការផ្លាស់ប្តូរ", "សវនករបានបញ្ជាក់"], "។", " "),
+}
+
+
+@pytest.fixture(scope="module")
+def stripped_model():
+    rng, counts = random.Random(9), Counter()
+    for _ in range(400):
+        pool, mark, gap = rng.choice(list(STRIPPED.values()))
+        count_text("\n\n".join("".join(x + mark + gap for x in rng.choices(pool, k=rng.randint(2, 7))).strip() for _ in range(2)), counts)
+    return Model(counts)
+
+
+@pytest.mark.parametrize("script", STRIPPED)
+@pytest.mark.parametrize("between", ["", " "])
+def test_texts_without_any_mark_in_scripts_without_spaces(stripped_model, script, between):
+    rng, (pool, mark, _) = random.Random(4), STRIPPED[script]
+    found = right = true = 0
+    for _ in range(60):
+        parts = rng.choices(pool, k=rng.randint(2, 6))
+        text, ends, at = between.join(parts), set(), 0
+        for p in parts:
+            at += len(p)
+            ends.add(at)
+            at += len(between)
+        mine = {b for _, b in sentences(text, stripped_model)}
+        found, right, true = found + len(mine), right + len(mine & ends), true + len(ends)
+    assert right / true > 0.95 and right / found > 0.95
+
+
+def test_chain_is_the_best_of_all_paths():
+    from itertools import product
+
+    rng = random.Random(3)
+    for _ in range(300):
+        gains, t = [rng.uniform(-2, 2) for _ in range(rng.randint(1, 7))], [rng.uniform(-1.5, 1.5) for _ in range(3)]
+
+        def worth(tags, gains=gains, t=t):
+            before, total = boundaries.START, 0.0
+            for tag, g in zip(tags, gains, strict=True):
+                total += (1 if tag else -1) * (g + t[before]) / 2
+                before = boundaries.END if tag else boundaries.GOES_ON
+            return total
+
+        best = max(product([False, True], repeat=len(gains)), key=worth)
+        assert boundaries._chain(gains, tuple(t)) == [k for k, tag in enumerate(best) if tag]
+
+
+def test_quick_candidates_are_those_of_the_full_search():
+    rng, signs = random.Random(8), ["a", "B", "é", "1", " ", "  ", "\n", ".", ".", "!", "?", "…", ",", "(", ")", '"', "“", "”", "»", "-", "x."]
+    for _ in range(4000):
+        block = "".join(rng.choices(signs, k=rng.randint(1, 25))).strip()
+        if block and not boundaries.is_manifold(block):
+            assert [c[:5] for c in boundaries.quick_candidates(block)] == [c[:5] for c in boundaries.candidates(block)], block
+
+
+def test_a_saved_model_gives_the_same_sentences(spark, tmp_path):
+    from quarterline.llm import sentences as module
+
+    rng = random.Random(6)
+    texts = ["\n\n".join(" ".join(rng.choices(POOLS[k % 3], k=6)) for _ in range(3)) for k in range(60)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trained = train(documents)
+    module.save(trained, spark, f"{tmp_path}/model.json")
+    with pytest.raises(FileExistsError):
+        module.save(trained, spark, f"{tmp_path}/model.json")
+    again = module.load(spark, f"{tmp_path}/model.json")
+    assert again.counts == trained.counts
+    spans = lambda df, model: sorted(map(tuple, sentence_spans(df, model).collect()))
+    assert spans(documents, again) == spans(documents, None)
+    few = documents.where("doc_id < 3")
+    assert spans(few, again) == [x for x in spans(documents, again) if x[0] < 3]
