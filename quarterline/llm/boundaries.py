@@ -211,8 +211,7 @@ def word_after(block: str, at: int) -> str:
 
 def is_folded(text: str) -> bool:
     """A text in one case only, whose capitals say nothing."""
-    lower = text.lower()
-    return text == lower and text != text.upper() or text != lower and text == text.upper()
+    return text.islower() or text.isupper()
 
 
 def is_prose(text: str) -> bool:
@@ -557,15 +556,10 @@ def _joint(after: float, before: float) -> float:
 
 
 #: Keys that count a word inside paragraphs, and those that count it at their edges.
-_PARTNERS = {"x": "s", "s": "s", "X": "S", "S": "S", "w": "E.", "E.": "E.", "W": "E", "E": "E", "u": "t", "t": "t", "v": "T", "T": "T"}
+PARTNERS = {"x": "s", "s": "s", "X": "S", "S": "S", "w": "E.", "E.": "E.", "W": "E", "E": "E", "u": "t", "t": "t", "v": "T", "T": "T"}
 COUNTED_INSIDE = frozenset("xXwWuv")
 
 
-def told_of(key: tuple) -> tuple | None:
-    """What a key tells something of; None for those that tell of all words."""
-    return (_PARTNERS[key[0]], key[1]) if key[0] in _PARTNERS else None
-
-
 class Model:
     """Log-odds of a boundary from the counts of a sample."""
 
@@ -633,6 +627,10 @@ class Model:
         self.known: tuple[dict, dict] = ({}, {})
         self.starts = {k[1] for k, n in c.items() if k[0] == "s" and n >= 5}
 
+    def __getstate__(self) -> dict:
+        """What decoding needs; the counts stay behind."""
+        return {k: v for k, v in self.__dict__.items() if k != "counts"} | {"known": ({}, {})}
+
     def _known(self, at_edge: int, inside: int, p0: float, share: float = 1.0, weight: float = PRIOR) -> float:
         """Log-odds of a boundary beside a word seen so often at paragraphs' edges and so often inside: the posterior
         over a grid, edges being Poisson around what each probability lets expect."""

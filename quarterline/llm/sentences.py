@@ -11,14 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm.boundaries import COUNTED_INSIDE, Model, count_text, sentences, told, told_of
+from quarterline.llm.boundaries import COUNTED_INSIDE, PARTNERS, Model, count_text, sentences, told
 from quarterline.sources import files
 
 #: Keys that a task counts before it passes them on.
 MOST_COUNTED = 500_000
 #: A word has to occur so often inside paragraphs to be known; a rarer one is judged as words in general.
 LEAST = 2
-_OF_A_WORD = '^\\["(s|S|E|E\\.|t|T)", '
 
 
 def train(documents: DataFrame) -> Model:
@@ -31,10 +30,8 @@ def train(documents: DataFrame) -> Model:
         def said() -> pa.RecordBatch:
             resolved = told(counts)
             counts.clear()
-            of = [json.dumps(told_of(k) or k) for k in resolved]
-            inside = [n if k[0] in COUNTED_INSIDE or told_of(k) is None else 0 for k, n in resolved.items()]
-            columns = [pa.array(of), pa.array(map(json.dumps, resolved), pa.string()), pa.array(resolved.values(), pa.int64()), pa.array(inside, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["told_of", "key", "n", "inside"])
+            columns = [pa.array(map(_written, resolved), pa.string()), pa.array(resolved.values(), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -43,11 +40,33 @@ def train(documents: DataFrame) -> Model:
                     yield said()
         yield said()
 
-    said = documents.select("text").mapInArrow(run, "told_of string, key string, n long, inside long")
-    keys = said.groupBy("told_of", "key").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"))
-    words = keys.groupBy("told_of").agg(F.collect_list(F.struct("key", "n")).alias("keys"), F.sum("inside").alias("inside"))
-    known = words.where((F.col("inside") >= LEAST) | ~F.col("told_of").rlike(_OF_A_WORD)).select(F.inline("keys")).toArrow()
-    return Model(Counter(dict(zip(map(tuple, json.loads(f"[{','.join(known['key'].to_pylist())}]")), known["n"].to_pylist(), strict=True))))
+    said = documents.select("text").mapInArrow(run, "key string, n long")
+    keys = said.groupBy("key").agg(F.sum("n").alias("n"))
+    part = F.split("key", _BETWEEN)
+    partner = F.create_map(*(F.lit(x) for pair in PARTNERS.items() for x in pair))
+    told_of = F.when(F.get(part, F.lit(0)).isin(*PARTNERS), F.concat(F.element_at(partner, F.get(part, F.lit(0))), F.lit(_BETWEEN), F.get(part, F.lit(1))))
+    # A word has a handful of keys; one that tells of all words is a group of its own.
+    words = keys.groupBy(F.coalesce(told_of, "key").alias("word")).agg(
+        F.collect_list(F.struct("key", "n")).alias("keys"), F.bool_or(told_of.isNull()).alias("general"),
+        F.sum(F.when(F.get(part, F.lit(0)).isin(*COUNTED_INSIDE), F.col("n"))).alias("inside"),
+    )
+    known = words.where((F.col("inside") >= LEAST) | F.col("general")).select(F.inline("keys")).toArrow()
+    return Model(Counter(dict(zip(map(_read, known["key"].to_pylist()), known["n"].to_pylist(), strict=True))))
+
+
+_BETWEEN = "\x1f"
+
+
+def _written(key: tuple) -> str:
+    """A key as text: its parts between separators, which are white space and stand in none but by accident."""
+    return _BETWEEN.join([x.replace(_BETWEEN, " ") if isinstance(x, str) else str(int(x)) for x in key])
+
+
+def _read(text: str) -> tuple:
+    name, *rest = text.split(_BETWEEN)
+    if name in "uv":
+        return name, rest[0], rest[1] == "1"
+    return (name, int(rest[0]), rest[1] == "1") if name == "a" else (name, *rest)
 
 
 def save(model: Model, spark: SparkSession, path: str) -> None:
