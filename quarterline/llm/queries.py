@@ -24,18 +24,23 @@ def p7_containers(spark, at):
 
 
 def p7_fill(spark, at):
-    containers = table(spark, at, "containers")
-    return packing.fill_of(packing.containers_of(table(spark, at, "documents"), containers), containers)
+    return packing.fill_of(table(spark, at, "documents"), table(spark, at, "containers"))
+
+
+def p7_conditions(spark, at):
+    return packing.conditions_of(table(spark, at, "documents"), table(spark, at, "containers"))
 
 
 def p8_found(spark, at):
     return sentences.sentence_spans(table(spark, at, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_round_trip, p6_decoded, p7_containers, p7_fill, p8_found)}
+QUERIES = {f.__name__: f for f in (p6_ids, p6_round_trip, p6_decoded, p7_containers, p7_fill, p7_conditions, p8_found)}
 
 #: Tokenization and packing have no SQL; tests hold them against another implementation and against their conditions.
 #: What decoding must give back can be said in SQL, and so can the conditions of a packing.
 ORACLES: dict[str, str] = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p7_conditions": """SELECT container_kind, max(capacity_tokens) AS capacity_tokens, CAST(0 AS BIGINT) AS overfull,
+        CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS misplaced FROM containers GROUP BY 1""",
 }

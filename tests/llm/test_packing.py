@@ -1,10 +1,13 @@
+import functools
+import math
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarterline.llm import packing
-from quarterline.llm.patterns import enumerate_patterns, fit_repeats, pack
+from quarterline.llm.patterns import fit_repeats, generate, pack
 
 
 def check(counts, capacity):
@@ -35,20 +38,63 @@ def test_little_room_is_unused(capacity):
     assert lengths.sum() / (check(counts, capacity) * capacity) > 0.995
 
 
+def as_dicts(patterns):
+    out = [{} for _ in range(patterns.size)]
+    for p, length, n in zip(patterns.column.tolist(), patterns.length.tolist(), patterns.times.tolist(), strict=True):
+        out[p][length] = n
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(capacity=st.integers(2, 25), counts=st.lists(st.integers(0, 4), min_size=25, max_size=25), values=st.lists(st.integers(0, 9), min_size=26, max_size=26))
+def test_generated_patterns_are_the_best(capacity, counts, values):
+    """Against a search over all full patterns within the counts."""
+    there = np.array([0, *counts])[: capacity + 1]
+    value = np.array(values[: capacity + 1], float)
+
+    @functools.cache
+    def best(room, upto):
+        """Greatest value of an exact filling from lengths up to one, none more often than it occurs."""
+        if upto == 0:
+            return 0.0 if room == 0 else -math.inf
+        most = min(int(there[upto]), room // upto) if value[upto] > 0 else 0
+        return max(k * value[upto] + best(room - k * upto, upto - 1) for k in range(most + 1))
+
+    got = as_dicts(generate(value, there, capacity))
+    for p in got:
+        assert sum(k * n for k, n in p.items()) == capacity and all(n <= there[k] for k, n in p.items())
+    firsts = [k for k in np.flatnonzero(there) if k <= capacity and best(capacity - int(k), capacity) > -math.inf]
+    worth = sorted(value[k] + best(capacity - int(k), capacity) for k in firsts)
+    # One per length, but for those whose best filling would need the length once more than it occurs.
+    assert len(got) <= len(firsts)
+    for p in got:
+        w = sum(value[k] * n for k, n in p.items())
+        assert any(math.isclose(w, x) for x in worth)
+
+
 def test_patterns_fill_exactly_and_fit():
     counts = np.zeros(11, int)
     counts[[2, 3, 5, 7, 10]] = [40, 30, 20, 30, 5]
-    patterns = enumerate_patterns(counts, 10)
-    assert {tuple(p) for p in patterns.tolist()} == {(10, 0, 0), (7, 3, 0), (5, 5, 0), (5, 3, 2)}
+    patterns = generate(counts.astype(float), counts, 10)
+    assert all(sum(k * n for k, n in p.items()) == 10 for p in as_dicts(patterns)) and patterns.size == 5
     x = fit_repeats(patterns, counts)
     assert (x >= 0).all()
     # At the least squares no pattern can gain by being used more.
-    used = np.zeros(11)
-    for p, n in zip(patterns, x, strict=True):
-        for k in p[p > 0]:
-            used[k] += n
-    gradient = np.array([(used - counts)[p[p > 0]].sum() for p in patterns])
-    assert gradient.min() > -0.5 and np.abs(gradient[x > 1e-3]).max() < 0.5
+    left = counts - patterns.used(x, 11)
+    gradient = -patterns.gained(np.arange(11) * left)
+    assert gradient.min() > -5 and np.abs(gradient[x > 1e-3]).max() < 5
+
+
+@pytest.mark.parametrize("capacity", [512, 2048, 8192])
+def test_most_containers_come_from_the_fit(capacity):
+    lengths = np.minimum(np.random.default_rng(1).lognormal(5.5, 1.1, 20_000).astype(int) + 1, capacity)
+    plan = pack(np.bincount(lengths, minlength=capacity + 1), capacity)
+    assert sum(p.repeats for p in plan if p.fitted) > 0.8 * sum(p.repeats for p in plan)
+
+
+def test_capacities_beyond_the_cells_of_the_search():
+    lengths = np.minimum(np.random.default_rng(2).lognormal(7, 1.2, 3_000).astype(int) + 1, 20_000)
+    assert lengths.sum() / (check(np.bincount(lengths, minlength=20_001), 20_000) * 20_000) > 0.98
 
 
 def rows(spark, sizes, kinds):
@@ -72,8 +118,11 @@ def test_documents_into_containers(spark):
         assert (mine.groupby("doc_id")["end_token"].shift().fillna(0) == mine["start_token"]).all()
         assert all(c == -(-tokens[i] // capacity) for i, c in mine.groupby("doc_id").size().items())
         assert filled.sum() / (len(filled) * capacity) > 0.97
-    fill = {r["container_kind"]: r for r in packing.fill_of(found, containers).collect()}
+    documents = spark.createDataFrame([(i, "a " * n if n else t) for i, (n, t) in enumerate(sizes)], "doc_id long, text string")
+    fill = {r["container_kind"]: r for r in packing.fill_of(documents, containers).collect()}
     assert fill["small"]["tokens"] == sum(tokens.values()) and fill["small"]["capacity_tokens"] == 64
+    assert fill["small"]["least"] == -(-sum(tokens.values()) // 64) <= fill["small"]["containers"] and 0 < fill["small"]["fitted"] <= 1
+    assert {tuple(r)[2:] for r in packing.conditions_of(documents, containers).collect()} == {(0, 0, 0)}
 
 
 def test_empty_tables(spark):
