@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -71,14 +72,26 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with the text in one rename; False, and nothing changed, if it exists already."""
+    """Create a file with the text in one step; False, and nothing changed, if it exists already.
+
+    Of several writers exactly one succeeds: a local file is linked under its name, which fails if that is taken, and
+    the renames of HDFS and its like fail, too. Object stores without such a rename don't suit commits.
+    """
     part, fs = _path(spark, f"{path}.{uuid.uuid4().hex}.part")
     final, _ = _path(spark, path)
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    done = not fs.exists(final) and fs.rename(part, final)
-    if not done:
+    if fs.getScheme() == "file":
+        local = [fs.makeQualified(p).toUri().getPath() for p in (part, final)]
+        try:
+            os.link(*local)
+            done = True
+        except FileExistsError:
+            done = False
+    else:
+        done = not fs.exists(final) and fs.rename(part, final)
+    if fs.exists(part):
         fs.delete(part, False)
     return done
 

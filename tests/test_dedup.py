@@ -87,3 +87,36 @@ def test_stream(spark, bronze, tmp_path):
     df.where("row_id > 2").coalesce(1).write.parquet(f"{tmp_path}/in/2")
     deduplicate_stream(stream(), store, f"{tmp_path}/check").awaitTermination()
     assert sorted(r["row_id"] for r in store.superfluous().collect()) == expected(rows)
+
+
+def test_of_two_racing_writers_one_wins_and_nothing_is_lost(spark, bronze, monkeypatch):
+    root = files.scratch(spark, "seen")
+    one, other = SeenStore(spark, root), SeenStore(spark, root)
+    rows = [("a", None, None, None, None, T[0]), ("a", None, None, None, None, T[1]), ("b", None, None, None, None, T[2]), ("b", None, None, None, None, T[1])]
+    df = messages(bronze(rows))
+    real, raced = files.write_text, []
+
+    def late(*args):
+        if not raced:
+            raced.append(True)
+            assert other.process(df, 1)  # while the first stands before its commit
+        return real(*args)
+
+    monkeypatch.setattr(files, "write_text", late)
+    assert not one.process(df, 1)
+    assert len([n for n in files.names(spark, root) if n.startswith("epoch-")]) == 1
+    assert one.last() == other.last() and sorted(r["row_id"] for r in one.superfluous().collect()) == expected(rows)
+    assert not one.process(df, 1)
+
+
+def test_an_epoch_writes_what_arrived_and_no_more(spark, bronze):
+    store = SeenStore(spark, files.scratch(spark, "seen"))
+    rows = [(str(k), None, None, None, None, T[k % 28]) for k in range(300)] + [("7", None, None, None, None, T[27]), ("new", None, None, None, None, T[3])]
+    df = messages(bronze(rows))
+    store.process(df.where("row_id <= 300"), 1)
+    first = set(store.last().hot)
+    store.process(df.where("row_id > 300"), 2)
+    assert first < set(store.last().hot)
+    added = spark.read.parquet(*(set(store.last().hot) - first))
+    assert {r["id"] for r in added.collect()} == {"7", "new"}
+    assert [r["row_id"] for r in store.superfluous().collect()] == expected(rows) == [8]
