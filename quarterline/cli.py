@@ -9,6 +9,7 @@ from dataclasses import asdict
 from pyspark.sql import SparkSession
 
 from quarterline.plans import layers
+from quarterline.sources import store
 from quarterline.sources.rows import read_json_array
 
 _OBJECTS = {"bronze": ("bronze",), "silver": ("bronze", "silver"), "gold": ("silver", "gold"), "run-all": ("bronze", "silver", "gold")}
@@ -31,18 +32,18 @@ def _report(layer: str, result) -> None:
 
 
 def run(job: str, argv: list[str] | None = None) -> None:
-    """Layers of the job in order; the first failure ends it."""
+    """Layers of the job in order; the first failure ends it. One run at a time works on the same last object."""
     a = _arguments(job, argv)
-    spark = SparkSession.builder.getOrCreate
-    if job in ("bronze", "run-all"):
-        if not a.input_fixture_path:
-            raise ValueError("Bronze requires --input-fixture-path with input mode fixture")
-        rows = read_json_array(a.input_fixture_path)
-        _report("bronze", layers.load_bronze_observations(spark(), rows, a.bronze_object))
-    if job in ("silver", "run-all"):
-        _report("silver", layers.load_silver_observations(spark(), a.bronze_object, a.silver_object))
-    if job in ("gold", "run-all"):
-        _report("gold", layers.load_gold_observations(spark(), a.silver_object, a.gold_object))
+    if job in ("bronze", "run-all") and not a.input_fixture_path:
+        raise ValueError("Bronze requires --input-fixture-path with input mode fixture")
+    spark = SparkSession.builder.getOrCreate()
+    with store.exclusive(spark, getattr(a, f"{_OBJECTS[job][-1]}_object")):
+        if job in ("bronze", "run-all"):
+            _report("bronze", layers.load_bronze_observations(spark, read_json_array(a.input_fixture_path), a.bronze_object))
+        if job in ("silver", "run-all"):
+            _report("silver", layers.load_silver_observations(spark, a.bronze_object, a.silver_object))
+        if job in ("gold", "run-all"):
+            _report("gold", layers.load_gold_observations(spark, a.silver_object, a.gold_object))
 
 
 def bronze(argv: list[str] | None = None) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.operators import quality
@@ -16,6 +16,7 @@ from quarterline.sources import rows as row_source
 from quarterline.sources import store
 
 
+# The names of the results and of their fields.
 @dataclass(frozen=True)
 class BronzeLoadResult:
     bronze_object: str
@@ -57,26 +58,31 @@ class GoldLoadResult:
 
 def load_bronze_observations(spark: SparkSession, rows: Iterable[dict], bronze_object: str) -> BronzeLoadResult:
     """Upsert one batch: latest row per id, stored rows change only where a material column does, nothing is deleted."""
-    batch = list(rows)
-    source = latest_observations(row_source.observations(spark, batch), "_hash").select(*OBSERVATION_COLUMNS)
-    kept = source.count()
+    return load_bronze_frame(spark, row_source.observations(spark, rows), bronze_object)
+
+
+def load_bronze_frame(spark: SparkSession, batch: DataFrame, bronze_object: str) -> BronzeLoadResult:
+    """The same for a batch that is a frame already, of any size. What is counted is observed while it is written."""
+    given, kept = Observation(), Observation()
+    rows = batch.select(*OBSERVATION_COLUMNS).observe(given, F.count("*").alias("n"))
+    source = latest_observations(rows, "_hash").select(*OBSERVATION_COLUMNS).observe(kept, F.count("*").alias("n"))
     commit = store.synchronize(spark, bronze_object, source, ["observation_id"], OBSERVATION_MATERIAL, delete_missing=False)
-    return BronzeLoadResult(bronze_object, len(batch), kept, commit.inserted_rows, commit.updated_rows, commit.final_rows)
+    return BronzeLoadResult(bronze_object, store.observed(given).get("n", 0), store.observed(kept).get("n", 0), commit.inserted_rows, commit.updated_rows, commit.final_rows)
 
 
 def load_silver_observations(spark: SparkSession, bronze_object: str, silver_object: str) -> SilverLoadResult:
-    """Synchronise with the valid rows of the whole Bronze relation; ids that are gone or invalid are deleted."""
+    """Synchronise with the valid rows of the whole Bronze relation; ids that are gone or invalid are deleted. Bronze is
+    read once: the action that writes counts what it rejects and what it keeps."""
     bronze = store.read_table(spark, bronze_object, OBSERVATION_COLUMNS, "Bronze source")
-    classified = quality.classify(bronze)
-    counted = classified.groupBy("rejection_reason").agg(F.count("*").alias("n"))
-    distinct = classified.where("rejection_reason IS NULL").agg(F.count_distinct("observation_id").alias("n"))
-    tally = counted.select("rejection_reason", "n").unionByName(distinct.select(F.lit("distinct").alias("rejection_reason"), "n"))
-    by_reason = {r["rejection_reason"]: r["n"] for r in tally.collect()}
-    valid, ids = by_reason.pop(None, 0), by_reason.pop("distinct")
-    rejected = sum(by_reason.values())
-    latest = latest_observations(classified.where("rejection_reason IS NULL").drop("rejection_reason"), "silver_record_hash")
-    source = latest.withColumn("silver_normalized_at", F.current_timestamp()).select(*SILVER_COLUMNS)
+    judged, kept, reason = Observation(), Observation(), F.col("rejection_reason")
+    counted = [F.count_if(reason == name).alias(name) for name in quality.REJECTION_REASONS]
+    classified = quality.classify(bronze).observe(judged, F.count_if(reason.isNull()).alias("valid"), *counted)
+    latest = latest_observations(classified.where(reason.isNull()).drop("rejection_reason"), "silver_record_hash")
+    source = latest.observe(kept, F.count("*").alias("ids")).withColumn("silver_normalized_at", F.current_timestamp()).select(*SILVER_COLUMNS)
     commit = store.synchronize(spark, silver_object, source, ["observation_id"], OBSERVATION_MATERIAL, delete_missing=True)
+    by_reason = {name: n for name, n in store.observed(judged).items() if n}
+    valid, ids = by_reason.pop("valid", 0), store.observed(kept).get("ids", 0)
+    rejected = sum(by_reason.values())
     return SilverLoadResult(
         silver_object, valid + rejected, valid, rejected, by_reason, ids, commit.inserted_rows, commit.updated_rows,
         commit.deleted_rows, commit.final_rows, ids, commit.final_rows - ids,
@@ -87,12 +93,14 @@ def load_gold_observations(spark: SparkSession, silver_object: str, gold_object:
     """Synchronise the mart with the whole Silver table, which must be one that this engine manages."""
     if spark.catalog.tableExists(silver_object):
         store.guard_snapshot_table(spark, silver_object, "Silver source")
-    silver = store.read_table(spark, silver_object, OBSERVATION_COLUMNS, "Silver source")
-    keyed = F.when(F.col("company_id").isNotNull() & F.col("metric_id").isNotNull(), F.struct(*MART_KEYS))
-    counts = silver.agg(F.count("*").alias("rows"), F.count_distinct(keyed).alias("keys")).first()
-    source = compare_periods(silver).withColumn("computed_at", F.current_timestamp()).select(*MART_COLUMNS)
+    given, kept = Observation(), Observation()
+    silver = store.read_table(spark, silver_object, OBSERVATION_COLUMNS, "Silver source").observe(given, F.count("*").alias("rows"))
+    # The mart has one row per key.
+    mart = compare_periods(silver).observe(kept, F.count("*").alias("keys"))
+    source = mart.withColumn("computed_at", F.current_timestamp()).select(*MART_COLUMNS)
     commit = store.synchronize(spark, gold_object, source, MART_KEYS, MART_MATERIAL, delete_missing=True)
+    keys = store.observed(kept).get("keys", 0)
     return GoldLoadResult(
-        gold_object, counts["rows"], counts["keys"], counts["keys"], commit.inserted_rows, commit.updated_rows,
-        commit.deleted_rows, commit.final_rows, commit.final_rows - counts["keys"],
+        gold_object, store.observed(given).get("rows", 0), keys, keys, commit.inserted_rows, commit.updated_rows, commit.deleted_rows,
+        commit.final_rows, commit.final_rows - keys,
     )

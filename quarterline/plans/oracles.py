@@ -93,6 +93,64 @@ _SYNC = f"""SELECT {", ".join(f"CASE WHEN a IN ('I', 'U') THEN s_{c} ELSE t_{c}
     SELECT {_action("observation_id", OBSERVATION_MATERIAL, True)} AS a,
       {", ".join(f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in _SILVER_COLUMNS)}
     FROM ({_OLD}) t FULL JOIN ({_SILVER}) s ON t.observation_id = s.observation_id) WHERE a <> 'D'"""
+
+
+def _joined(old: str, new: str, keys, material, columns, delete: bool) -> str:
+    """Every row of either side with its action; columns of the new side where it is taken."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    return f"""SELECT {", ".join(f"CASE WHEN a IN ('I', 'U') THEN s_{c} ELSE t_{c} END AS {c}" for c in columns)}, a FROM (
+        SELECT CASE WHEN NOT coalesce(t.there, false) THEN 'I' WHEN NOT coalesce(s.there, false) THEN '{"D" if delete else "N"}'
+            WHEN {_differs(material)} THEN 'U' ELSE 'N' END AS a, {", ".join(f"t.{c} AS t_{c}, s.{c} AS s_{c}" for c in columns)}
+        FROM (SELECT *, true AS there FROM ({old})) t FULL JOIN (SELECT *, true AS there FROM ({new})) s ON {on})"""
+
+
+_SIX = ("observation_id", *OBSERVATION_MATERIAL, "ingested_at")
+_LATEST_BRONZE = f"""SELECT {", ".join(_SIX)} FROM (SELECT *, {_BRONZE_HASH} AS h FROM slice4_bronze) QUALIFY {_LATEST.format(h="h")}"""
+# Loads onto tables that exist, each stage once.
+_STAGES = f"""WITH b AS MATERIALIZED ({_joined(f"SELECT {', '.join(_SIX)} FROM slice4_silver", _LATEST_BRONZE, ["observation_id"], OBSERVATION_MATERIAL, _SIX, False)}),
+    judged AS MATERIALIZED ({_classified("b")}),
+    fresh AS (SELECT * FROM (SELECT * EXCLUDE (rejection_reason), {_BRONZE_HASH} AS silver_record_hash FROM judged WHERE rejection_reason IS NULL)
+        QUALIFY {_LATEST.format(h="silver_record_hash")}),
+    silver AS MATERIALIZED ({_joined(_OLD, "SELECT * FROM fresh", ["observation_id"], OBSERVATION_MATERIAL, (*_SIX, "silver_record_hash"), True)}),
+    gold AS MATERIALIZED ({_joined("SELECT * EXCLUDE (computed_at) FROM slice4_gold", _mart("SELECT * EXCLUDE (a) FROM silver WHERE a <> 'D'"),
+        ["company_id", "metric_id"], (*MART_PAYLOAD, "gold_record_hash"), ("company_id", "metric_id", *MART_PAYLOAD, "gold_record_hash"), True)})"""
+_KEPT = "CAST(count_if(a <> 'D') AS BIGINT)"
+
+
+def _told(layer: str, source: str, **counters: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{layer}' AS layer, '{name}' AS counter, CAST(({x}) AS BIGINT) AS n FROM {source}" for name, x in counters.items())
+
+
+_CHANGES = {"inserted_rows": "count_if(a = 'I')", "updated_rows": "count_if(a = 'U')"}
+_NONE = "count_if(false)"
+_NO_CHANGES = {"inserted_rows": _NONE, "updated_rows": _NONE}
+
+
+def _silver_counters(layer: str, changes: dict[str, str], deleted: str) -> str:
+    ids = "count(DISTINCT CASE WHEN rejection_reason IS NULL THEN observation_id END)"
+    judged = {"bronze_input_rows": "count(*)", "bronze_structurally_valid_rows": "count_if(rejection_reason IS NULL)",
+              "bronze_rejected_rows_total": "count_if(rejection_reason IS NOT NULL)", "silver_batch_rows_after_dedup": ids, "bronze_distinct_valid_observation_ids": ids}
+    written = changes | {"silver_deleted_rows": deleted, "silver_final_row_count": "count_if(a <> 'D')", "reconciliation_delta": _NONE}
+    return f"""{_told(layer, "judged", **judged)} UNION ALL {_told(layer, "silver", **written)}
+        UNION ALL SELECT '{layer}', rejection_reason, count(*) FROM judged WHERE rejection_reason IS NOT NULL GROUP BY 2"""
+
+
+def _gold_counters(layer: str, changes: dict[str, str], deleted: str) -> str:
+    rows = "count_if(a <> 'D')"
+    return _told(layer, "silver", silver_input_rows=rows) + " UNION ALL " + _told(
+        layer, "gold", silver_distinct_company_metric_keys=rows, gold_batch_rows=rows, **changes, deleted_rows=deleted, gold_final_row_count=rows, reconciliation_delta=_NONE
+    )
+
+
+_COUNTERS = f"""{_STAGES} {_told("bronze", "slice4_bronze", input_rows="count(*)")} UNION ALL {_told("bronze", f"({_LATEST_BRONZE})", batch_rows_after_dedup="count(*)")}
+    UNION ALL {_told("bronze", "b", **_CHANGES, final_row_count="count(*)")}
+    UNION ALL {_silver_counters("silver", _CHANGES, "count_if(a = 'D')")} UNION ALL {_gold_counters("gold", _CHANGES, "count_if(a = 'D')")}
+    UNION ALL {_silver_counters("silver_rerun", _NO_CHANGES, _NONE)} UNION ALL {_gold_counters("gold_rerun", _NO_CHANGES, _NONE)}"""
+_HISTORY = f"""{_STAGES} SELECT 1::BIGINT AS version, 'CREATE' AS operation, count(*) AS inserted_rows, 0::BIGINT AS updated_rows, 0::BIGINT AS deleted_rows,
+      count(*) AS final_rows, count(*) AS rows_read FROM slice4_gold
+    UNION ALL SELECT 2, 'SYNC', CAST(count_if(a = 'I') AS BIGINT), CAST(count_if(a = 'U') AS BIGINT), CAST(count_if(a = 'D') AS BIGINT), {_KEPT}, {_KEPT} FROM gold"""
+_INGESTED = """SELECT observation_id, company_id, metric_id, period_id, CASE WHEN company_id IS NOT NULL THEN value END AS value,
+    CASE WHEN metric_id IS NOT NULL THEN ingested_at END AS ingested_at FROM slice4_bronze"""
 _MART_COLUMNS = ("company_id", "metric_id", *MART_PAYLOAD, "gold_record_hash")
 _GOLD_SYNC = f"""SELECT {", ".join(f"CASE WHEN action IN ('I', 'U') THEN s_{c} ELSE t_{c} END AS {c}" for c in _MART_COLUMNS)}, action FROM (
     SELECT {_action("company_id", (*MART_PAYLOAD, "gold_record_hash"), True)} AS action,
@@ -203,6 +261,10 @@ ORACLES = {
     "display_rows": f"""SELECT {", ".join(f"coalesce({_SHOWN.get(c, c)}, 'N/A') AS {c}" for c in ("company_id", "metric_id", *MART_PAYLOAD))} FROM slice4_gold""",
     "pipeline_bronze_silver_gold": _mart(_SILVER.replace("FROM slice4_bronze", f"""FROM (SELECT * FROM slice4_bronze
         QUALIFY {_LATEST.format(h=_BRONZE_HASH)})""")),
+    "layer_counters": _COUNTERS,
+    "commit_history": _HISTORY,
+    "merged_mart": f"{_STAGES} SELECT * EXCLUDE (a) FROM gold WHERE a <> 'D'",
+    "ingested_text": _INGESTED,
     "lineitem_gold": _mart(_valid(_LINES), hashed=False),
     "events_gold": _mart(_valid(_EVENTS), hashed=False),
     "p1_profile": _P1_PROFILE,

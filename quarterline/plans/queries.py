@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterline.functions.display import shown_number, shown_percentage, shown_value
 from quarterline.functions.text import trimmed
 from quarterline.operators import lateness, profile, quality, snapshot_diff, spikes, sync
 from quarterline.operators.compare import compare_periods, same_period_winner
 from quarterline.operators.latest import latest_observations
 from quarterline.plans import layers, serving
-from quarterline.schema import MART_KEYS, MART_MATERIAL, MART_PAYLOAD, OBSERVATION_COLUMNS, OBSERVATION_MATERIAL
-from quarterline.sources import store
+from quarterline.schema import KEYS, MART_COLUMNS, MART_KEYS, MART_MATERIAL, MART_PAYLOAD, OBSERVATION_COLUMNS, OBSERVATION_MATERIAL, SILVER_COLUMNS
+from quarterline.sources import files, store
+from quarterline.sources import rows as row_source
 from quarterline.sources.tables import table
 from quarterline.streaming import dedup
 
@@ -121,27 +125,99 @@ def serving_comparison(spark, at):
 
 def display_rows(spark, at):
     """The view model of every mart row."""
-    mart = table(spark, at, "slice4_gold").select(*serving.COMPARISON_COLUMNS)
+    shown = {"change_pct": shown_percentage} | dict.fromkeys(("current_value", "previous_value", "change_value"), shown_number)
+    return table(spark, at, "slice4_gold").select(*(shown.get(c, shown_value)(F.col(c)).alias(c) for c in serving.COMPARISON_COLUMNS))
 
-    def shown(batches):
-        import pandas as pd
 
-        for batch in batches:
-            rows = batch.astype(object).where(batch.notna(), None).to_dict("records")
-            yield pd.DataFrame(serving.formatted_rows(rows), columns=list(batch.columns))
-
-    return mart.mapInPandas(shown, ", ".join(f"{c} string" for c in serving.COMPARISON_COLUMNS))
+@contextmanager
+def _tables(spark):
+    """Names for three tables, which are gone afterwards."""
+    run = uuid.uuid4().hex
+    names = [f"ql_{layer}_{run}" for layer in ("bronze", "silver", "gold")]
+    try:
+        yield names
+    finally:
+        for name in names:
+            store.drop(spark, name)
 
 
 def pipeline_bronze_silver_gold(spark, at):
     """Bronze, Silver and mart tables built through the store, then the mart without its audit stamp."""
-    run = uuid.uuid4().hex
-    bronze, silver, gold = (f"ql_{layer}_{run}" for layer in ("bronze", "silver", "gold"))
-    source = latest_observations(_bronze(spark, at).select(*OBSERVATION_COLUMNS), "_hash").select(*OBSERVATION_COLUMNS)
-    store.synchronize(spark, bronze, source, ["observation_id"], OBSERVATION_MATERIAL, delete_missing=False)
-    layers.load_silver_observations(spark, bronze, silver)
-    layers.load_gold_observations(spark, silver, gold)
-    return spark.table(gold).select(*_MART)
+    with _tables(spark) as (bronze, silver, gold):
+        layers.load_bronze_frame(spark, _bronze(spark, at), bronze)
+        layers.load_silver_observations(spark, bronze, silver)
+        layers.load_gold_observations(spark, silver, gold)
+        return files.kept(spark.table(gold).select(*_MART), "mart")
+
+
+def _existing(spark, at, names) -> None:
+    """Tables as they stood before: the old Silver rows as Bronze and as Silver, and the old mart."""
+    bronze, silver, gold = names
+    old = table(spark, at, "slice4_silver").withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    stamped = old.withColumn("silver_normalized_at", F.current_timestamp()).select(*SILVER_COLUMNS)
+    mart = table(spark, at, "slice4_gold").withColumn("computed_at", F.current_timestamp()).select(*MART_COLUMNS)
+    for name, frame, keys, material in (
+        (bronze, old.select(*OBSERVATION_COLUMNS), ["observation_id"], OBSERVATION_MATERIAL),
+        (silver, stamped, ["observation_id"], OBSERVATION_MATERIAL), (gold, mart, MART_KEYS, MART_MATERIAL),
+    ):
+        store.synchronize(spark, name, frame, keys, material, delete_missing=True)
+
+
+def layer_counters(spark, at):
+    """What the loads count when they meet tables that exist, and when they are run again: layer, counter, n."""
+    found = []
+
+    def told(layer: str, result) -> None:
+        for name, n in asdict(result).items():
+            if isinstance(n, dict):
+                found.extend((layer, reason, k) for reason, k in n.items())
+            elif not isinstance(n, str):
+                found.append((layer, name, n))
+
+    with _tables(spark) as names:
+        _existing(spark, at, names)
+        bronze, silver, gold = names
+        told("bronze", layers.load_bronze_frame(spark, _bronze(spark, at), bronze))
+        for again in ("", "_rerun"):
+            told(f"silver{again}", layers.load_silver_observations(spark, bronze, silver))
+            told(f"gold{again}", layers.load_gold_observations(spark, silver, gold))
+    return spark.createDataFrame(found, "layer string, counter string, n long")
+
+
+def commit_history(spark, at):
+    """The mart's commits after a load onto the old one and a run that changes nothing, each with the rows of its
+    version as they can still be read."""
+    with _tables(spark) as names:
+        _existing(spark, at, names)
+        bronze, silver, gold = names
+        layers.load_bronze_frame(spark, _bronze(spark, at), bronze)
+        for _ in range(2):
+            layers.load_silver_observations(spark, bronze, silver)
+            layers.load_gold_observations(spark, silver, gold)
+        commits = [(*asdict(c).values(), store.read_version(spark, gold, c.version).count()) for c in store.history(spark, gold)]
+    return spark.createDataFrame(commits, "version long, operation string, inserted_rows long, updated_rows long, deleted_rows long, final_rows long, rows_read long")
+
+
+def merged_mart(spark, at):
+    """The mart after a load onto tables that exist: rows without a material change keep what they had."""
+    with _tables(spark) as names:
+        _existing(spark, at, names)
+        bronze, silver, gold = names
+        layers.load_bronze_frame(spark, _bronze(spark, at), bronze)
+        layers.load_silver_observations(spark, bronze, silver)
+        layers.load_gold_observations(spark, silver, gold)
+        return files.kept(spark.table(gold).select(*_MART), "mart")
+
+
+def ingested_text(spark, at):
+    """Bronze as text, some of it unreadable: where the company is missing the value says n/a, where the metric is, the
+    stamp does."""
+    raw = _bronze(spark, at).select(
+        *KEYS,
+        F.when(F.col("company_id").isNull(), "n/a").otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(F.col("metric_id").isNull(), "soon").otherwise(F.col("ingested_at").cast("string")).alias("ingested_at"),
+    )
+    return _zoneless(row_source.typed(raw))
 
 
 def _quarter(stamp) -> F.Column:
@@ -228,6 +304,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, lineitem_gold, events_gold, p1_found, p1_profile, p1_maintained, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, layer_counters, commit_history, merged_mart, ingested_text, lineitem_gold, events_gold, p1_found, p1_profile, p1_maintained, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
     )
 }

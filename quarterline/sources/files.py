@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.
 
-    Where none is named, a cluster has its warehouse, and a local session a temporary folder that goes with the process.
+    Where none is named, a cluster has its warehouse, which must not be a folder of one machine, and a local session a
+    temporary folder that goes with the process.
     """
     key = "spark.checkpoint.dir"
     named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
     if not named and not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if named.startswith("file:") and not spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: {named} is a machine's own")
     elif not named:
         named = tempfile.mkdtemp(prefix="quarterline-")
         atexit.register(shutil.rmtree, named, True)
@@ -30,9 +33,28 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, deleted by sweep() or when the process ends."""
+    if not _made:
+        atexit.register(_sweep_at_exit, spark)
+    _made.append(path := f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return path
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete what scratch() gave out so far; for sessions that live long, between results."""
+    while _made:
+        delete(spark, _made.pop())
+
+
+def _sweep_at_exit(spark: SparkSession) -> None:
+    try:
+        sweep(spark)
+    except Exception:  # the session is gone; who owns the folder cleans it
+        _made.clear()
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:

@@ -50,7 +50,19 @@ def observations(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
         ids = (None if (x := row.get(k)) is None else str(x) for k in KEYS)
         return (*ids, text(row.get("value")), None if is_time or stamp is None else str(stamp), stamp if is_time else None)
 
-    stamp = F.coalesce("_stamp", F.try_to_timestamp("ingested_at")) if "ingested_at" in names else F.current_timestamp()
-    return spark.createDataFrame([raw(r) for r in batch], _RAW).select(
-        *KEYS, F.col("value").try_cast("double").alias("value"), stamp.alias("ingested_at")
-    )
+    made = spark.createDataFrame([raw(r) for r in batch], _RAW)
+    if "ingested_at" not in names:
+        return typed(made.drop("_stamp", "ingested_at"))
+    return typed(made.withColumn("ingested_at", F.coalesce("_stamp", F.try_to_timestamp("ingested_at"))))
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """The six observation columns of a frame of any size: ids as text, value a number, ingested_at a stamp; what can't
+    be read is null. Without a column ingested_at every row has the current time."""
+    require_columns({*raw.columns, "ingested_at"}, OBSERVATION_COLUMNS, "Missing required columns")
+    stamp = F.current_timestamp()
+    if "ingested_at" in raw.columns:
+        stamp = F.col("ingested_at")
+        stamp = F.try_to_timestamp(stamp) if dict(raw.dtypes)["ingested_at"] == "string" else stamp.cast("timestamp")
+    ids = (F.col(k).cast("string").alias(k) for k in KEYS)
+    return raw.select(*ids, F.col("value").try_cast("double").alias("value"), stamp.alias("ingested_at"))

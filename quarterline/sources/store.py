@@ -10,8 +10,11 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from quarterline.schema import require_columns
 from quarterline.sources import files
 
 MARKER = "quarterline.snapshot"
+_LOCK_SECONDS = 86_400
 # Fixed value: what deletes may be derived from.
 _SNAPSHOT = "persisted full snapshot table"
 
@@ -115,6 +119,15 @@ def _create(spark: SparkSession, name: str, source: DataFrame) -> Commit:
     return commit
 
 
+def observed(observation: Observation) -> dict[str, int]:
+    """Counts of an observation after its action. A part of a plan that turns out to be empty while it runs is dropped
+    together with what observes it, and then there is nothing to tell."""
+    try:
+        return {k: v or 0 for k, v in observation.get.items()}
+    except Py4JJavaError:
+        return {}
+
+
 def synchronize(spark: SparkSession, name: str, source: DataFrame, keys, material, delete_missing: bool) -> Commit:
     """Bring the table to the plan of plan_changes; creates it where it is absent.
 
@@ -130,8 +143,8 @@ def synchronize(spark: SparkSession, name: str, source: DataFrame, keys, materia
     new = f"{root}/v{old + 1:08d}"
     files.delete(spark, new)  # left by a writer that died before its commit
     apply_changes(plan).write.parquet(new)
-    counts = {k: v or 0 for k, v in seen.get.items()}
-    counts.pop("rows")
+    counts = dict.fromkeys(("inserted_rows", "updated_rows", "deleted_rows"), 0) | observed(seen)
+    counts.pop("rows", None)
     if not any(counts.values()):
         files.delete(spark, new)
         return Commit(old, "NONE", 0, 0, 0, _rows(spark, before, target.schema))
@@ -145,6 +158,29 @@ def synchronize(spark: SparkSession, name: str, source: DataFrame, keys, materia
     return commit
 
 
+def drop(spark: SparkSession, name: str) -> None:
+    """The table and all its versions; nothing if it isn't there."""
+    if spark.catalog.tableExists(name):
+        root = _root(_location(spark, name))
+        spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+        files.delete(spark, root)
+
+
+@contextmanager
+def exclusive(spark: SparkSession, name: str) -> Iterator[None]:
+    """One run at a time: RuntimeError while another holds the name. A lock left by a run that died is deleted by hand
+    or, after a day, by the next run."""
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_locks/{re.sub(r'[^A-Za-z0-9_.]', '', name)}"
+    if files.exists(spark, path) and time.time() - float(files.read_text(spark, path)) > _LOCK_SECONDS:
+        files.delete(spark, path)
+    if not files.write_text(spark, path, str(time.time())):
+        raise RuntimeError(f"another run is at work on {name} ({path})")
+    try:
+        yield
+    finally:
+        files.delete(spark, path)
+
+
 def vacuum(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
     """Delete all but the newest versions; returns the folders that went."""
     root, now = _root(_location(spark, name)), version(spark, name)

@@ -1,3 +1,5 @@
+import pytest
+
 from quarterline.sources import files
 
 
@@ -28,6 +30,28 @@ def test_no_temporary_folder_on_a_cluster():
         assert files.shared_folder(Session(master, {"spark.sql.warehouse.dir": "/wh"})) == "/wh/_scratch"
 
 
+def test_a_warehouse_on_one_machine_is_no_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.shared_folder(Session("yarn", {"spark.sql.warehouse.dir": "file:/wh"}))
+    assert files.shared_folder(Session("local-cluster[3,2,1024]", {"spark.sql.warehouse.dir": "file:/wh"})) == "file:/wh/_scratch"
+
+
+def test_scratch_is_swept(spark):
+    df = files.kept(spark.range(3), "numbers")
+    assert df.count() == 3
+    path = files._made[-1]
+    files.sweep(spark)
+    assert not files.exists(spark, path)
+
+
+def test_one_of_many_writers_creates_a_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: files.write_text(spark, f"{tmp_path}/commit", str(k)), range(24)))
+    assert sum(won) == 1 and files.read_text(spark, f"{tmp_path}/commit") == str(won.index(True))
+
+
 def test_a_local_session_keeps_its_folder():
     session = Session("local[2]", {})
     assert files.shared_folder(session) == files.shared_folder(session)

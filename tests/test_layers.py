@@ -184,3 +184,34 @@ def test_order_of_a_batch_and_conservation(spark, rows, random):
     assert result.reconciliation_delta == 0 and result.bronze_input_rows == result.bronze_structurally_valid_rows + result.bronze_rejected_rows_total
     for t in (a, b, silver):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_one_run_at_a_time(spark):
+    with store.exclusive(spark, "some.gold"):
+        with pytest.raises(RuntimeError, match="another run"):
+            with store.exclusive(spark, "some.gold"):
+                pass
+        with store.exclusive(spark, "other.gold"):
+            pass
+    with store.exclusive(spark, "some.gold"):
+        pass
+
+
+def test_a_dropped_table_leaves_nothing(spark, names):
+    from quarterline.sources import files
+
+    load_bronze(spark, [row("1")], names[0])
+    root = store._root(store._location(spark, names[0]))
+    store.drop(spark, names[0])
+    store.drop(spark, names[0])
+    assert not spark.catalog.tableExists(names[0]) and not files.exists(spark, root)
+
+
+def test_an_empty_bronze_table(spark, names):
+    load_bronze(spark, [row("1")], names[0])
+    load_silver(spark, *names[:2])
+    spark.table(names[0]).where("false").createOrReplaceTempView("nothing")
+    emptied = load_silver(spark, "nothing", names[1])
+    assert (emptied.bronze_input_rows, emptied.silver_deleted_rows, emptied.silver_final_row_count, emptied.reconciliation_delta) == (0, 1, 0, 0)
+    gold = load_gold(spark, *names[1:])
+    assert (gold.silver_input_rows, gold.gold_batch_rows, gold.reconciliation_delta) == (0, 0, 0)

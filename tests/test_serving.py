@@ -1,9 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarterline import cli
-from quarterline.functions.display import display_number, display_percentage, display_value
+from quarterline.functions.display import display_number, display_percentage, display_value, shown_number, shown_percentage, shown_value
 from quarterline.plans import serving
 
 
@@ -74,3 +75,17 @@ def test_cli_errors(tmp_path):
         cli.bronze([*common, "fixture", "--input-fixture-path", str(tmp_path / "o.json")])
     with pytest.raises(ValueError, match="does not exist"):
         cli.silver(["--catalog", "x", "--schema", "y", "--bronze-object", "no_such", "--silver-object", "s"])
+
+
+def test_columns_show_what_the_page_shows(spark):
+    import random
+
+    rng = random.Random(1)
+    values = [None, 0.0, -0.0, 0.005, -0.004, 0.125, 2.675, 1e15 + 0.5, -1234567.895, 0.0005, -0.0005, 0.00049, float("nan"), float("inf"), float("-inf"), -1e-300]
+    values += [rng.choice([-1, 1]) * round(10 ** rng.uniform(-4, 12), rng.randint(0, 6)) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    shown = df.select("v", shown_number(df.v).alias("n"), shown_percentage(df.v).alias("p"), shown_value(df.v.cast("string")).alias("t")).collect()
+    assert [(r["n"], r["p"]) for r in shown] == [(display_number(v), display_percentage(v)) for v in values]
+    assert shown[0]["t"] == display_value(None)
+    # Beyond 2^53 the columns have zeros after the digits that tell a double from its neighbours.
+    assert spark.range(1).select(shown_percentage(F.lit(1e22))).first()[0] == "+1,000,000,000,000,000,000,000,000.0%"
