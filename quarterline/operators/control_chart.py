@@ -202,13 +202,19 @@ def stuck_values(cell: np.ndarray, value: np.ndarray, x: np.ndarray, rules: Char
     return np.where(moving[:, None], still, np.nan)
 
 
-def representative(candidates: np.ndarray) -> np.ndarray:
-    """Per series and period the candidate nearest to the level around it, so that a corrected slip doesn't count."""
-    last = candidates[-1]
-    level = _neighbour_level(last, SEASON)
-    with np.errstate(all="ignore"):
-        gap = np.where(np.isnan(candidates), np.inf, np.abs(candidates - np.where(np.isnan(level), last, level)))
-    return np.take_along_axis(candidates, np.argmin(gap, axis=0)[None], axis=0)[0]
+def level_around(x: np.ndarray) -> np.ndarray:
+    """Median of a year before and after each period."""
+    return _neighbour_level(x, SEASON)
+
+
+def representative(value: np.ndarray, starts: np.ndarray, newest: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Of all values of a period the one nearest to the level around it, so that a corrected slip doesn't count; of two
+    as near the lower one. value: sorted within each period, whose first ones are at `starts`; newest and level: one
+    for each period, the newest value standing for a level that isn't known."""
+    period = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(value))))
+    gap = np.abs(value - np.where(np.isnan(level), newest, level)[period])
+    nearest = np.flatnonzero(gap == np.minimum.reduceat(gap, starts)[period])
+    return value[nearest[np.unique(period[nearest], return_index=True)[1]]]
 
 
 def judge_spikes(x: np.ndarray, rules: ChartRules) -> Judged:

@@ -11,33 +11,30 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.expr import is_finite
 from quarterline.functions.text import QUARTERS, identifier, readable_quarter_index
-from quarterline.operators.control_chart import ChartRules, judge_spikes, representative, stuck_values
+from quarterline.operators.control_chart import ChartRules, judge_spikes, level_around, representative, stuck_values
 from quarterline.operators.whole_groups import group_numbers, whole_groups
 from quarterline.sources import files
 
 _SERIES = ("company", "metric")
 _NODE = (*_SERIES, "quarter")
-_CANDIDATES = ("least", "most", "first", "last")
 
 
 def _charted(rules: ChartRules):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for entries in whole_groups(batches, _SERIES):
-            # One row per value; a quarter's rows follow one another, so its candidates are found by segments.
-            starts = np.flatnonzero(group_numbers(entries, _NODE) != np.append(-1, group_numbers(entries, _NODE)[:-1]))
-            value, first, last = (entries[c].to_numpy() for c in ("value", "first", "last"))
+            # One row per value; a quarter's rows follow one another.
+            starts = np.flatnonzero(np.diff(group_numbers(entries, _NODE), prepend=-1))
+            value, last = entries["value"].to_numpy(), entries["last"].to_numpy()
             node = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(entries))))
             nodes = entries.iloc[starts][list(_NODE)].reset_index(drop=True)
             nodes["least"], nodes["most"] = np.minimum.reduceat(value, starts), np.maximum.reduceat(value, starts)
-            for c, row, best in (("first", first, np.minimum), ("last", last, np.maximum)):
-                chosen, here = nodes["least"].to_numpy(copy=True), row == best.reduceat(row, starts)[node]
-                chosen[node[here]] = value[here]
-                nodes[c] = chosen
             series, quarter = group_numbers(nodes, _SERIES), nodes["quarter"].to_numpy()
-            values = np.full((len(_CANDIDATES), int(series[-1]) + 1, QUARTERS), np.nan)
-            for k, c in enumerate(_CANDIDATES):
-                values[k, series, quarter] = nodes[c].to_numpy()
-            x = representative(values)
+            # Rows without a number or with the same one leave a choice; any value serves.
+            newest, here = nodes["least"].to_numpy(copy=True), last == np.maximum.reduceat(last, starts)[node]
+            newest[node[here]] = value[here]
+            x = np.full((int(series[-1]) + 1, QUARTERS), np.nan)
+            x[series, quarter] = newest
+            x[series, quarter] = representative(value, starts, newest, level_around(x)[series, quarter])
             judged, still = judge_spikes(x, rules), stuck_values((series * QUARTERS + quarter)[node], value, x, rules)
             low, high, stuck = (m[series, quarter] for m in (judged.low, judged.high, still))
             bad = (nodes["least"].to_numpy() < low) | (nodes["most"].to_numpy() > high) | ~np.isnan(stuck)
@@ -78,8 +75,8 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     few values is not charted.
 
     A series' rows are reduced map-side to the different values of each quarter, so copies don't reach one task in
-    numbers. Runs are sought in all of them; a quarter's chart has the least, the most, the first and the last to choose
-    from. Charts return only quarters that hold an implausible value; those are written first, so that Spark knows their
+    numbers. Runs are sought in all of them, and the chart takes that of a quarter's values which lies nearest to the
+    level around it. Charts return only quarters that hold an implausible value; those are written first, so that Spark knows their
     size and broadcasts them only if it is small, and then meet the rows in one pass together with the limits.
     """
     rules = rules or ChartRules()
@@ -87,9 +84,9 @@ def implausible_rows(bronze: DataFrame, catalog: DataFrame, rules: ChartRules |
     charted = rows.where(is_finite(F.col("value")) & F.expr(" AND ".join(f"{k} IS NOT NULL" for k in _NODE)))
     nodes = (
         charted.groupBy(*_NODE, "value")
-        .agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"))
+        .agg(F.max("row_id").alias("last"))
         .repartition(*_SERIES)
-        .sortWithinPartitions(*_NODE)
+        .sortWithinPartitions(*_NODE, "value")
         .mapInPandas(_charted(rules), "company string, metric string, quarter int, low double, high double, stuck double")
     )
     value = F.col("value")

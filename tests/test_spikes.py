@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from quarterline.operators.control_chart import ChartRules, judge_spikes, stuck_runs
+from quarterline.operators.control_chart import ChartRules, judge_spikes, representative, stuck_runs
 from quarterline.operators.spikes import implausible_rows
 
 
@@ -146,3 +146,31 @@ def test_planted_slips_are_found_and_little_else(seed):
     assert hit[every, at][planted].mean() > 0.9
     hit[every[planted], at[planted]] = False
     assert hit.mean() < 0.002
+
+
+def test_the_value_nearest_to_the_level_stands_for_a_period():
+    value, starts = np.array([1.0, 5.0, 9.0, 4.0, 6.0, 7.0, 2.0]), np.array([0, 3, 6])
+    assert representative(value, starts, np.array([9.0, 7.0, 2.0]), np.array([5.5, 5.0, np.nan])).tolist() == [5.0, 4.0, 2.0]
+
+
+def test_a_correction_among_many_reports_of_a_quarter_counts(bronze, catalog):
+    values = wave(seed=4)
+    slips = [values[9] * k for k in (20.0, 0.01, 35.0, 0.02)]
+    rows = series(values)
+    around = [("o", "C", "money", name(9), v, None) for v in slips]
+    # The right value is neither the least, the most, the first nor the last of its quarter.
+    rows = around[:2] + rows + around[2:]
+    assert flagged(bronze, catalog, rows) == [k + 1 for k, r in enumerate(rows) if r[4] in slips]
+
+
+def test_rows_without_a_number_or_with_the_same_one(bronze, catalog):
+    from pyspark.sql import functions as F
+
+    values = wave()
+    values[9] = 30_000.0
+    df = bronze(series(values) + series([v * 1.001 for v in values]))
+    found = lambda x: sorted((r["row_id"] for r in implausible_rows(x, catalog).collect()), key=str)
+    assert found(df) == [10, 42]
+    assert found(df.withColumn("row_id", F.when(F.col("row_id") > 5, F.col("row_id")))) == [10, 42]
+    assert found(df.withColumn("row_id", F.lit(7).cast("long"))) == [7, 7]
+    assert found(df.withColumn("row_id", F.lit(None).cast("long"))) == [None, None]
