@@ -4,18 +4,19 @@ Event time is the quarter, arrival is ingested_at; lateness is the arrival minus
 Finger B-trees decide. One over all quarters takes the arrivals in their order and evicts a quarter when an arrival
 says that its cut-off has passed: what it refuses was too late, what it takes behind its finger of open quarters was a
 correction. One per series holds the earliest arrival of each quarter and answers which rows were overtaken. One takes
-the loads in their order and holds the aggregates.
+the loads in their order and holds the aggregates; it is kept from load to load.
 """
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterline.functions.expr import is_finite
@@ -142,46 +143,95 @@ def _watermark(high: np.ndarray, n: np.ndarray) -> int:
     return int(high[order][np.searchsorted(n[order].cumsum(), 0.95 * n.sum())])
 
 
-def _replay(deltas: pd.DataFrame) -> pd.DataFrame:
-    """As of each load, count and sum of every quarter.
+class Totals:
+    """Count and sum of every quarter as loads come one after the other; knows nothing of those to come.
 
-    The tree takes load after load and knows nothing of those to come. The arrivals seen so far move its watermark, and
-    quarters whose cut-off that has passed are evicted: their aggregates are closed and leave the tree. A row in time by
-    its own arrival that a later load brings for a closed quarter corrects the closed aggregate.
+    The arrivals seen so far move the watermark, and quarters whose cut-off that has passed are evicted: their
+    aggregates are closed and leave the tree. A row in time by its own arrival that a later load brings for a closed
+    quarter corrects the closed aggregate.
     """
-    tree, closed, corrected, out, seen = FingerTree(PAIR), {}, [0] * QUARTERS, [], None
-    for load, rows in deltas.groupby("load_number", sort=True):
+
+    def __init__(self) -> None:
+        self.tree = FingerTree(PAIR)
+        self.closed: dict[int, tuple[int, int]] = {}
+        self.corrected = [0] * QUARTERS
+        self.seen: int | None = None
+
+    def state(self) -> dict:
+        """All that the next load needs."""
+        entries = lambda pairs: [[q, n, str(total)] for q, (n, total) in pairs]
+        return {"live": entries(self.tree.items()), "closed": entries(self.closed.items()), "corrected": self.corrected, "cut_off": self.tree.cut_off, "seen": self.seen}
+
+    @classmethod
+    def resumed(cls, state: dict) -> Totals:
+        self = cls()
+        if state["cut_off"] is not None:
+            self.tree.cut(state["cut_off"])
+        for q, n, total in state["live"]:
+            self.tree.insert(q, (n, int(total)))
+        self.closed = {q: (n, int(total)) for q, n, total in state["closed"]}
+        self.corrected, self.seen = list(state["corrected"]), state["seen"]
+        return self
+
+    def add(self, load: int, rows: pd.DataFrame) -> list[tuple]:
+        """One load; load, quarter, n, total, late and later of every quarter as of it."""
         parts = zip(*(rows[c].tolist() for c in ("quarter", "scale", "n", "total", "late")), strict=True)
         for quarter, scale, n, total, late in parts:
             part = (n, in_common(int(total), scale))
-            if not tree.insert(quarter, part):
-                closed[quarter] = PAIR.plus(closed.get(quarter, PAIR.identity), part)
-            corrected[quarter] += late
-        live, later = dict(tree.items()), dict(tree.later())
-        following = tree.total()[0]
-        for quarter in sorted(closed, reverse=True):
-            live[quarter], later[quarter] = closed[quarter], (following, 0)
-            following += closed[quarter][0]
-        out += [(load, q, n, as_double(total), corrected[q], later[q][0]) for q, (n, total) in sorted(live.items())]
+            if not self.tree.insert(quarter, part):
+                self.closed[quarter] = PAIR.plus(self.closed.get(quarter, PAIR.identity), part)
+            self.corrected[quarter] += late
+        all_of, later, following = dict(self.tree.items()), dict(self.tree.later()), self.tree.total()[0]
+        for quarter in sorted(self.closed, reverse=True):
+            all_of[quarter], later[quarter] = self.closed[quarter], (following, 0)
+            following += self.closed[quarter][0]
+        out = [(load, q, n, as_double(total), self.corrected[q], later[q][0]) for q, (n, total) in sorted(all_of.items())]
         high = _watermark(rows["high"].to_numpy(), rows["n"].to_numpy())
-        seen = high if seen is None else max(seen, high)
-        closed |= dict(tree.cut(bisect_right(_ENDS, seen - CUT_OFF_DAYS)))
-    return pd.DataFrame(out, columns=["load_number", "quarter", "n", "total", "late", "later"])
+        self.seen = high if self.seen is None else max(self.seen, high)
+        self.closed |= dict(self.tree.cut(bisect_right(_ENDS, self.seen - CUT_OFF_DAYS)))
+        return out
 
 
-def period_aggregates(bronze: DataFrame) -> DataFrame:
-    """Per load number and quarter: value_count, value_sum (of finite values: the double nearest to the exact sum,
-    infinite beyond the largest), late_count (how many of them were corrections) and later_count (values of later
-    quarters seen so far), as of that load.
+_TOTALS = "load_number int, quarter int, n long, total double, late long, later long"
 
-    Loads of all feeds with the same number form one step; rows without a load take no part. Rows that the tree of
-    arrivals refuses are left out. What reaches the single replaying task are sums per load number, quarter and scale
-    of the values, a table bounded by loads times quarters whatever the rows.
-    """
+
+class PeriodStore:
+    """Totals that outlive a process: each load commits its rows and the state after it as one file, created in one
+    step, from which the next load goes on."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _commits(self) -> list[dict]:
+        names = [n for n in files.names(self.spark, f"{self.root}/commits") if n.endswith(".json")]
+        return [json.loads(files.read_text(self.spark, f"{self.root}/commits/{n}")) for n in names]
+
+    def add(self, bronze: DataFrame) -> None:
+        """The loads of the rows, in the order of their numbers. ValueError for a load that isn't later than those
+        already there. What reaches the driver are sums per load number, quarter and scale of the values, a table
+        bounded by loads times quarters whatever the rows."""
+        deltas = _deltas(bronze).toPandas()
+        done = self._commits()
+        last, totals = (done[-1]["load"], Totals.resumed(done[-1]["state"])) if done else (-1, Totals())
+        if len(deltas) and deltas["load_number"].min() <= last:
+            raise ValueError(f"loads up to {last} are closed")
+        for load, rows in deltas.groupby("load_number", sort=True):
+            out = totals.add(int(load), rows)
+            commit = json.dumps({"load": int(load), "rows": out, "state": totals.state()})
+            if not files.write_text(self.spark, f"{self.root}/commits/{int(load):010d}.json", commit):
+                raise RuntimeError(f"load {load} was added by another writer")
+
+    def totals(self) -> DataFrame:
+        return self.spark.createDataFrame([tuple(r) for c in self._commits() for r in c["rows"]], _TOTALS)
+
+
+def _deltas(bronze: DataFrame) -> DataFrame:
+    """Per load number, quarter and scale of the values: n, total (in units of the scale, as text), late, high (the day
+    by which nearly all had arrived). Rows that the tree of arrivals refuses are left out."""
     number = F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int")
     rows = participants(bronze)
     taken = rows.where(is_finite(F.col("value"))).join(F.broadcast(standing(rows)), ["quarter", "day"], "left")
-    deltas = (
+    return (
         taken.where("kind IS DISTINCT FROM 'too_late'")
         .withColumn("load_number", number)
         .where("load_number IS NOT NULL")
@@ -192,9 +242,21 @@ def period_aggregates(bronze: DataFrame) -> DataFrame:
             F.count_if(F.col("kind") == "late").alias("late"), F.percentile_approx("day", 0.95).alias("high"),
         )
     )
-    steps = deltas.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_replay, "load_number int, quarter int, n long, total double, late long, later long")
+
+
+def period_aggregates(bronze: DataFrame, store: PeriodStore | None = None) -> DataFrame:
+    """Per load number and quarter: value_count, value_sum (of finite values: the double nearest to the exact sum,
+    infinite beyond the largest), late_count (how many of them were corrections) and later_count (values of later
+    quarters seen so far), as of that load.
+
+    Loads of all feeds with the same number form one step; rows without a load take no part. With a store the loads are
+    added to what it holds, and the result covers all of it; without one a new store takes them.
+    """
+    spark = bronze.sparkSession
+    store = store or PeriodStore(spark, files.scratch(spark, "periods"))
+    store.add(bronze)
     period = F.concat((F.lit(FIRST_YEAR) + F.floor(F.col("quarter") / 4)).cast("string"), F.lit("Q"), (F.col("quarter") % 4 + 1).cast("string"))
-    return steps.select(
+    return store.totals().select(
         "load_number", period.alias("period_id"), F.col("n").alias("value_count"), F.col("total").alias("value_sum"),
         F.col("late").alias("late_count"), F.col("later").alias("later_count"),
     )

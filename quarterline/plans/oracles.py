@@ -275,6 +275,7 @@ ORACLES = {
         WHERE NOT isnan(value) AND (isinf(value) OR value < lower_limit OR value > upper_limit)""",
     "p4_found": _P4,
     "p4_periods": _P4_PERIODS,
+    "p4_resumed": _P4_PERIODS,
     "p5_found": _P5,
     "p5_kept": f"""SELECT row_id, {_space_trimmed('observation_id')} AS observation_id, value FROM slice4_bronze
         WHERE row_id NOT IN ({_P5})""",

@@ -287,6 +287,16 @@ def p4_periods(spark, at):
     return lateness.period_aggregates(_bronze(spark, at))
 
 
+def p4_resumed(spark, at):
+    """The same, with the newest load number added later to what was kept of the others."""
+    rows = _bronze(spark, at)
+    number = F.regexp_extract("batch_id", "-([0-9]+)\\z", 1).try_cast("int")
+    newest = rows.agg(F.max(number)).first()[0]
+    kept = files.scratch(spark, "periods")
+    lateness.PeriodStore(spark, kept).add(rows.where(number < newest))
+    return lateness.period_aggregates(rows.where(number == newest), lateness.PeriodStore(spark, kept))
+
+
 def p5_found(spark, at):
     return dedup.superfluous_copies(_bronze(spark, at))
 
@@ -304,6 +314,6 @@ QUERIES = {
         bronze_latest, silver_classified, silver_rejected_by_reason, silver_snapshot, silver_counters, upsert_actions,
         sync_actions, sync_result, sync_metrics, silver_inserted, silver_orphans, gold_same_period, gold_snapshot,
         gold_sync_actions, serving_companies, serving_metrics, serving_comparison, display_rows,
-        pipeline_bronze_silver_gold, layer_counters, commit_history, merged_mart, ingested_text, lineitem_gold, events_gold, p1_found, p1_profile, p1_maintained, p2_found, p3_found, p3_limits, p4_found, p4_periods, p5_found, p5_kept,
+        pipeline_bronze_silver_gold, layer_counters, commit_history, merged_mart, ingested_text, lineitem_gold, events_gold, p1_found, p1_profile, p1_maintained, p2_found, p3_found, p3_limits, p4_found, p4_periods, p4_resumed, p5_found, p5_kept,
     )
 }
