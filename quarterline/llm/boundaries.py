@@ -34,6 +34,10 @@ GREEK_QUESTION = ";\u037e"
 LIST_MARK = r"(?:[-•*]|\d{1,9}[.)])[^\S\r\n]+"
 
 _NEW_LINE = r"(?>\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])"
+#: The same for texts whose lines end with line feeds only, which begin with one sign and are found faster.
+_FEEDS_ONLY = re.compile("[\r\x0b\x0c\x85\u2028\u2029]")
+_FEED_BLANK = re.compile(r"\n[^\S\r\n]*(?:\n[^\S\r\n]*)+")
+_FEED_ITEM = re.compile(rf"\n[^\S\r\n]*({LIST_MARK})")
 _ANY_LINE = re.compile("[\n\r\x0b\x0c\x85\u2028\u2029]")
 _BLANK = regex.compile(rf"(?:{_NEW_LINE}[^\S\r\n]*){{2,}}|\u2029")
 _ITEM = regex.compile(rf"{_NEW_LINE}[^\S\r\n]*({LIST_MARK})")
@@ -76,14 +80,15 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         if text:
             yield 0, len(text)
         return
-    for gap in [*_BLANK.finditer(text), None]:
+    blank, item = (_BLANK, _ITEM) if _FEEDS_ONLY.search(text) else (_FEED_BLANK, _FEED_ITEM)
+    for gap in [*blank.finditer(text), None]:
         end = gap.start() if gap else len(text)
         if end > at:
             part, begin = text[at:end], 0
             listed = bool(_ITEM_START.match(part))
             number = _NUMBER.match(part) if listed else None
             last = int(number[1]) if number else 0
-            items = list(_ITEM.finditer(part))
+            items = list(item.finditer(part))
             for k, m in enumerate(items):
                 # A number with a dot may have got to the beginning of a line by wrapping: it must be part of a list.
                 if number := _NUMBER.match(m[1]):
@@ -384,69 +389,55 @@ def count_text(text: str, counts: Counter) -> None:
     """Adds what a text tells: words before and after candidates inside paragraphs and at paragraphs' ends."""
     if not text or not is_prose(text):
         return
-    plain, runs = not is_folded(text), [0] * 6
+    plain, runs, seen = not is_folded(text), [0] * 6, []
+    note = seen.append
     for a, b in blocks(text):
         block = text[a:b].strip()
         if not block:
             continue
         if not (item := bool(_ITEM_START.match(block))):
-            start = word_after(block, 0)
-            if start:
-                counts["S", start.casefold()] += 1
-                if plain:
-                    counts["s", start] += 1
-                    counts["c", _script(block[:20]), shape(start)] += 1
+            if start := word_after(block, 0):
+                note((FIRST, start, _script(block[:20]), plain))
             if _HAS_SPACELESS.match(block):
-                counts["t", _gram(block, 0)] += 1
+                note(("t", _gram(block, 0)))
         end = len(block)
         if not item and _HAS_SPACELESS.match(block, end - 1):
-            counts["T", block[-NGRAM:]] += 1
+            note(("T", block[-NGRAM:]))
         while end and block[end - 1] in _CLOSERS:
             end -= 1
         stop = end
         while stop and block[stop - 1] in SOFT:
             stop -= 1
         if stop < end and not item:
-            kind = "." if block[stop:end] == "." else "!"
-            before = word_before(block, stop)
-            if kind == "!":
-                counts["e", "!"] += 1
-            context = _context(block, stop)
-            counts["e", kind, context] += 1
-            if kind == ".":
-                counts["E", before.casefold()] += 1
-                if plain:
-                    counts["E.", before, context] += 1
+            note((LAST, "." if block[stop:end] == "." else "!", word_before(block, stop), _context(block, stop), plain))
         tag = START
         if not is_manifold(block):
             for _, after, kind, _, pair, token, following in quick_candidates(block, _item_end(block) if item else 0):
                 if not pair:
-                    if len(following) >= _NEAR or _FIRST_WORDS[following] is None:
-                        following = word_after(block, after)
-                        likely = shape(following) in _LIKELY
-                    else:
-                        likely = shape(_FIRST_WORDS[following]) in _LIKELY
-                    counts[QUICK, kind, token, following, plain] += 1
+                    if len(following) >= _NEAR or (word := _FIRST_WORDS[following]) is None:
+                        following = word = word_after(block, after)
+                    likely = _SHAPES[word] in _LIKELY
+                    note((QUICK, kind, token, following, plain))
                     runs[2 * tag + likely] += 1
                     tag = END if likely else GOES_ON
             continue
         if (script := _stripped_script(block)) and _MARKS.search(block):
-            _count_stripped(block, script, counts)
-        for c in candidates(block, _item_end(block)):
-            end, after, kind, mark, pair, _, _ = c
+            _count_stripped(block, script, seen)
+        for end, after, kind, mark, pair, _, _ in candidates(block, _item_end(block)):
             if kind == "hard" or pair:
                 tag = END
                 continue
             if kind == "space":
-                joined = _joined(block, c)
-                counts["u", _gram(block, after), joined] += 1
-                counts["v", block[max(0, end - NGRAM) : end], joined] += 1
+                joined = _joined(block, end, after)
+                note(("u", _gram(block, after), joined))
+                note(("v", block[max(0, end - NGRAM) : end], joined))
                 continue
             following = word_after(block, after)
-            counts[INSIDE, kind, word_before(block, mark), following, _context(block, mark), plain] += 1
-            likely = shape(following) in _LIKELY
+            note((INSIDE, kind, word_before(block, mark), following, _context(block, mark), plain))
+            likely = _SHAPES[following] in _LIKELY
             runs[2 * tag + likely] += 1
             tag = END if likely else GOES_ON
+    counts.update(seen)
     if plain:
         for k, n in enumerate(runs):
             if n:
@@ -474,28 +465,43 @@ def _stripped_script(block: str) -> str | None:
     return next((name for name, p in _OF_STRIPPED.items() if p.match(m[0])), None) if m else None
 
 
-def _count_stripped(block: str, script: str, counts: Counter) -> None:
+def _count_stripped(block: str, script: str, seen: list) -> None:
     """Runs of characters at the ends and the beginnings of what lies between marks, and all of them."""
     side = _SIDES[script]
     for part in _MARKS.split(block):
         part = _UNJOINED.sub("", part)
         if len(part) > 2 * side:
-            counts["g", script, "n"] += len(part) - 1
-            counts["g", script, "e"] += 1
-            counts["gb", script, part[:side]] += 1
-            counts["ge", script, part[-side:]] += 1
-            for k in range(len(part) - side + 1):
-                counts["gn", script, part[k : k + side]] += 1
+            runs = [("gn", script, part[k : k + side]) for k in range(len(part) - side + 1)]
+            seen += runs
+            seen += [("g", script, "n")] * len(runs)
+            seen += (("g", script, "e"), ("gb", script, part[:side]), ("ge", script, part[-side:]))
 
 
-#: Candidates inside paragraphs are counted as they are first, and then by what they tell.
-INSIDE, QUICK = "*", "**"
+#: Candidates inside paragraphs and paragraphs' edges are counted as they are first, and then by what they tell.
+INSIDE, QUICK, FIRST, LAST = "*", "**", "^", "$"
 
 
 def told(counts: Counter) -> Counter:
-    """The counts with each candidate inside a paragraph resolved into what its words, shapes and script tell."""
-    out = Counter({k: n for k, n in counts.items() if k[0] != INSIDE and k[0] != QUICK})
+    """The counts with each candidate and each edge resolved into what its words, shapes and script tell."""
+    out = Counter({k: n for k, n in counts.items() if k[0] not in (INSIDE, QUICK, FIRST, LAST)})
     for key, n in counts.items():
+        if key[0] == FIRST:
+            _, start, script, plain = key
+            out["S", start.casefold()] += n
+            if plain:
+                out["s", start] += n
+                out["c", script, shape(start)] += n
+            continue
+        if key[0] == LAST:
+            _, kind, before, context, plain = key
+            out["e", kind, context] += n
+            if kind == "!":
+                out["e", "!"] += n
+            else:
+                out["E", before.casefold()] += n
+                if plain:
+                    out["E.", before, context] += n
+            continue
         if key[0] == INSIDE:
             _, kind, before, after, context, plain = key
         elif key[0] == QUICK:
@@ -542,9 +548,9 @@ def _gram(block: str, at: int) -> str:
     return "0" if block[at].isdigit() else block[at : at + NGRAM]
 
 
-def _joined(block: str, c: Candidate) -> bool:
+def _joined(block: str, end: int, after: int) -> bool:
     """A space with the same spaceless script on both sides."""
-    return bool(_HAS_SPACELESS.match(block, c.after) and _HAS_SPACELESS.match(block, c.end - 1))
+    return bool(_HAS_SPACELESS.match(block, after) and _HAS_SPACELESS.match(block, end - 1))
 
 
 _SPACE_PRIOR = {True: 0.8, False: 0.03}
@@ -663,7 +669,7 @@ class Model:
         """Log-odds of a boundary at a candidate that isn't fixed."""
         _, at, mark_kind, mark, *_ = c
         if mark_kind == "space":
-            joined = _joined(block, c)
+            joined = _joined(block, c.end, at)
             if not joined and block[at].isalpha() and word_after(block, at) in self.starts:
                 return 2.0
             seen = self.space_next.get((_gram(block, at), joined), 0.0) + self.space_previous.get((block[max(0, c.end - NGRAM) : c.end], joined), 0.0)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,7 +92,7 @@ def sentence_spans(documents: DataFrame, model: Model | None = None) -> DataFram
         tagger = shared.value
         for batch in batches:
             found = [sentences(t, tagger) if t else [] for t in batch.column(1).to_pylist()]
-            flat = np.array([x for spans in found for x in spans], np.int64).reshape(-1, 2)
+            flat = np.fromiter(chain.from_iterable(chain.from_iterable(found)), np.int64).reshape(-1, 2)
             place = np.repeat(np.arange(len(found)), [len(spans) for spans in found])
             ids = batch.column(0).take(pa.array(place))
             yield pa.RecordBatch.from_arrays([ids, pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["doc_id", "start_char", "end_char"])
