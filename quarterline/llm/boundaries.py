@@ -297,10 +297,11 @@ def is_manifold(block: str) -> bool:
     return bool(_MANIFOLD.search(block))
 
 
-def quick_candidates(block: str, first: int = 0) -> list[Candidate]:
-    """candidates() of a block in cased letters only."""
-    out, p = [], 0
+def quick_candidates(block: str, first: int = 0, known: dict | None = None) -> tuple[list[Candidate], list[float | None]]:
+    """candidates() of a block in cased letters only; and what is known already of the signs around each, if anything."""
+    out, gains, p = [], [], 0
     closed = pairs(block) if _PAIRED.search(block) else ()
+    known = {} if known is None else known
     for m in _QUICK.finditer(block, first):
         at, end = m.span()
         if closed:
@@ -308,18 +309,22 @@ def quick_candidates(block: str, first: int = 0) -> list[Candidate]:
                 p += 1
             if p < len(closed) and closed[p][0] < at:
                 continue
-        marks = m[0]
+        marks, following = m[0], m[1]
         kind = "." if marks == "." else "…" if "…" in marks or ".." in marks else "!"
         near = block[at - _NEAR if at > _NEAR else 0 : at]
         token = near.rsplit(None, 1)[-1] if near and not near[-1].isspace() else ""
-        out.append(_made(Candidate, (end, m.start(1), kind, at, None, token, m[1])))
+        out.append(_made(Candidate, (end, m.start(1), kind, at, None, token, following)))
+        gains.append(known.get((kind, token, following)))
     if closed:
         # Marks right before a closing mark end the sentence together with it.
-        ends = [c for pair in closed for c in candidates_of_pair(block, pair, first)]
-        if ends:
-            out += ends
-            out.sort()
-    return out
+        for pair in closed:
+            for c in candidates_of_pair(block, pair, first):
+                k = len(out)
+                while k and out[k - 1][0] > c[0]:
+                    k -= 1
+                out.insert(k, c)
+                gains.insert(k, None)
+    return out, gains
 
 
 def candidates_of_pair(block: str, pair: tuple[int, int], first: int) -> list[Candidate]:
@@ -412,7 +417,7 @@ def count_text(text: str, counts: Counter) -> None:
             note((LAST, "." if block[stop:end] == "." else "!", word_before(block, stop), _context(block, stop), plain))
         tag = START
         if not is_manifold(block):
-            for _, after, kind, _, pair, token, following in quick_candidates(block, _item_end(block) if item else 0):
+            for _, after, kind, _, pair, token, following in quick_candidates(block, _item_end(block) if item else 0)[0]:
                 if not pair:
                     if len(following) >= _NEAR or (word := _FIRST_WORDS[following]) is None:
                         following = word = word_after(block, after)
@@ -736,17 +741,16 @@ def decode(block: str, model: Model, folded: bool, first: int = 0) -> list[tuple
         found = candidates(block, first)
         gains = [None if c.pair else _hard(block, c) if c.kind == "hard" else model.score(block, c, folded) for c in found]
     else:
-        found, gains, known = quick_candidates(block, first), [], model.known[folded]
-        for c in found:
-            _, _, kind, _, pair, token, following = c
-            gain = None if pair else known.get((kind, token, following))
-            if gain is None and not pair:
-                gain = model.score(block, c, folded)
-                if len(following) < _NEAR and _FIRST_WORDS[following] is not None:
-                    if len(known) >= _Remembered.MOST:
-                        known.clear()
-                    known[kind, token, following] = gain
-            gains.append(gain)
+        known = model.known[folded]
+        found, gains = quick_candidates(block, first, known)
+        if None in gains:
+            for k, c in enumerate(found):
+                if gains[k] is None and c[4] is None:
+                    gains[k] = gain = model.score(block, c, folded)
+                    if len(c[6]) < _NEAR and _FIRST_WORDS[c[6]] is not None:
+                        if len(known) >= _Remembered.MOST:
+                            known.clear()
+                        known[c[2], c[5], c[6]] = gain
     if not found and (script := _stripped_script(block)) and script in model.gaps and not _MARKS.search(block):
         found, gains = _gaps(block, first, _SIDES[script], *model.gaps[script])
     if not found:

@@ -207,7 +207,7 @@ def test_quick_candidates_are_those_of_the_full_search():
     for _ in range(4000):
         block = "".join(rng.choices(signs, k=rng.randint(1, 25))).strip()
         if block and not boundaries.is_manifold(block):
-            assert [c[:5] for c in boundaries.quick_candidates(block)] == [c[:5] for c in boundaries.candidates(block)], block
+            assert [c[:5] for c in boundaries.quick_candidates(block)[0]] == [c[:5] for c in boundaries.candidates(block)], block
 
 
 def test_a_saved_model_gives_the_same_sentences(spark, tmp_path):
