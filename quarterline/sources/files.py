@@ -93,6 +93,21 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def _linked(part: str, final: str) -> bool:
+    """A file under a second name; False if that is taken. Where there are no links it is created anew, by one only."""
+    try:
+        os.link(part, final)
+    except FileExistsError:
+        return False
+    except OSError:
+        try:
+            with open(part, "rb") as text, open(final, "xb") as out:
+                out.write(text.read())
+        except FileExistsError:
+            return False
+    return True
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> bool:
     """Create a file with the text in one step; False, and nothing changed, if it exists already.
 
@@ -105,12 +120,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> bool:
     out.write(bytearray(text.encode()))
     out.close()
     if fs.getScheme() == "file":
-        local = [fs.makeQualified(p).toUri().getPath() for p in (part, final)]
-        try:
-            os.link(*local)
-            done = True
-        except FileExistsError:
-            done = False
+        done = _linked(*(fs.makeQualified(p).toUri().getPath() for p in (part, final)))
     else:
         done = not fs.exists(final) and fs.rename(part, final)
     if fs.exists(part):

@@ -63,3 +63,12 @@ def test_text_is_written_once(spark, tmp_path):
     assert files.read_text(spark, path) == "ä" and files.names(spark, f"{tmp_path}/a")[-1] == "b.json"
     files.delete(spark, f"{tmp_path}/a")
     assert not files.exists(spark, path) and files.names(spark, f"{tmp_path}/a") == []
+
+
+def test_text_is_written_once_without_links_too(spark, tmp_path, monkeypatch):
+    def no_links(*_):
+        raise PermissionError("no links here")
+
+    monkeypatch.setattr(files.os, "link", no_links)
+    assert files.write_text(spark, f"{tmp_path}/c", "a") and not files.write_text(spark, f"{tmp_path}/c", "b")
+    assert files.read_text(spark, f"{tmp_path}/c") == "a" and [n for n in files.names(spark, f"{tmp_path}") if n.endswith(".part")] == []
